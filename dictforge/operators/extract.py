@@ -66,9 +66,9 @@ def with_titles(df: DataFrame, titles: DataFrame, refs: str = "refs", row_id: st
     if fits_broadcast(titles, MAP_ROWS):
         entries = F.map_from_entries(F.collect_list(F.struct("Code", "Title")))
         lookup = titles.agg(entries.alias("titles")).scalar()
-        return df.withColumn(
-            refs, F.transform(refs, lambda r: titled(r, F.try_element_at(lookup, r["InternalCode"])))
-        )
+        return df.withColumn("_titles", lookup).withColumn(
+            refs, F.transform(refs, lambda r: titled(r, F.try_element_at("_titles", r["InternalCode"])))
+        ).drop("_titles")
     exploded = df.select(row_id, F.posexplode(refs).alias("pos", "ref")).withColumn(
         "Code", F.col("ref.InternalCode")
     )
