@@ -116,6 +116,7 @@ def clean_meanings(joined: DataFrame, titles: DataFrame, cfg: Config) -> DataFra
         "refs",
         F.when(has_source, source).alias("source"),
         T.text_or_empty(F.col("SourceShortText")).alias("source_short"),
+        *[c for c in ("has_ext",) if c in rows.columns],
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dictforge.config import Config
 from dictforge.functions import text as T
 from dictforge.operators.ordered import with_packs
-from dictforge.operators.skew import lookup_join
+from dictforge.operators.skew import fits_broadcast, lookup_join
 
 _BREAKS = re.compile("[।\n.]")
 
@@ -78,15 +78,18 @@ def is_unmerged(source_short: Column, has_ext: Column, marker: str) -> Column:
     return F.contains(T.text_or_empty(source_short), F.lit(marker)) | F.coalesce(has_ext, F.lit(False))
 
 
-def with_managed_types(rows: DataFrame, labels: DataFrame, cfg: Config) -> DataFrame:
+def with_managed_types(
+    rows: DataFrame, labels: DataFrame, cfg: Config, small: bool | None = None
+) -> DataFrame:
     """Tags of each row from the ``(kind, raw, label)`` dimension."""
+    small = fits_broadcast(labels) if small is None else small
     tagged = rows
     for kind, column in (("type", "Type"), ("gender", "TypeGender")):
         dim = labels.where(F.col("kind") == kind).select(
             F.col("raw").alias(f"_{kind}"), F.col("label").alias(f"_{kind}_label")
         )
         tagged = tagged.withColumn(f"_{kind}", T.strip(T.text_or_empty(F.col(column))))
-        tagged = lookup_join(tagged, dim, f"_{kind}")
+        tagged = lookup_join(tagged, dim, f"_{kind}", small=small)
     return tagged.withColumn(
         "ManagedType",
         T.managed_types(
@@ -96,7 +99,10 @@ def with_managed_types(rows: DataFrame, labels: DataFrame, cfg: Config) -> DataF
 
 
 def pack_meanings(
-    rows: DataFrame, cfg: Config, keys: tuple[str, ...] = ("word_ord", "source_short")
+    rows: DataFrame,
+    cfg: Config,
+    keys: tuple[str, ...] = ("word_ord", "source_short"),
+    census: DataFrame | None = None,
 ) -> DataFrame:
     """Number the packs of each group in sequence order; ties keep the order of ``meaning_ord``."""
     sequenced = rows.withColumn("seq_sort", T.sequence_key(F.col("seq_no"), cfg.seqno_regex))
@@ -107,6 +113,7 @@ def pack_meanings(
         F.length(T.strip(T.text_or_empty(F.col("text")))),
         cfg.meanings_per_record,
         cfg.max_chars_per_split,
+        census,
     )
 
 
@@ -186,11 +193,12 @@ def merge_content(
         "unmerged", is_unmerged(F.col("source_short"), F.col("has_ext"), cfg.unmerged_source)
     )
 
+    small = fits_broadcast(labels)
+
     def prepared(wanted: Column) -> DataFrame:
         # Routed before the split, so each branch splits and tags its own rows only.
-        return with_managed_types(
-            split_meanings(routed.where(wanted), cfg.max_chars_per_split), labels, cfg
-        )
+        parts = split_meanings(routed.where(wanted), cfg.max_chars_per_split)
+        return with_managed_types(parts, labels, cfg, small)
 
     carried = tuple(
         c for c in rows.columns if c in word_cols or c in ("Language", "source", "MeaningId")
@@ -201,7 +209,7 @@ def merge_content(
     alone = prepared(F.col("unmerged")).select(
         *kept, F.lit(0).alias("emit"), F.lit(0).cast("long").alias("pack")
     )
-    packed = pack_meanings(prepared(~F.col("unmerged")), cfg)
+    packed = pack_meanings(prepared(~F.col("unmerged")), cfg, census=routed)
     single = packed.where(F.col("group_items") == 1).select(
         *kept, F.lit(1).alias("emit"), F.lit(0).cast("long").alias("pack")
     )

@@ -1,10 +1,11 @@
-"""Position and running state over a total order, without one task seeing a whole group.
-
-All operators here share one shape. Rows are range-partitioned and sorted on a total order, so a group
-of any size spans as many partitions as it needs. Each partition computes its local answer and a small
-summary; the summaries, one per partition, are chained; each row then adds what its partition carried in.
-The locally annotated rows are written to the shared folder between the two passes: partition numbers
-become data, so a retry or a different split of the files cannot change them.
+"""Position and running state over ordered groups, without one task seeing a large group.
+
+Groups of usual size are hash-partitioned, sorted and scanned where they lie. A group beyond
+``LOCAL_GROUP_ROWS`` is range-partitioned on the total order instead, so it spans as many partitions as
+it needs: each partition computes its local answer and a small summary; the summaries, one per
+partition, are chained; each row then adds what its partition carried in. The locally annotated rows
+are written to the shared folder between the two passes: partition numbers become data, so a retry or a
+different split of the files cannot change them.
 """
 
 from __future__ import annotations
@@ -18,8 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BooleanType, DataType, LongType, StructField, StructType
 
+from dictforge.operators import skew
 from dictforge.session import stage
 
+# Largest group that one task may scan (narrow numeric columns only).
+LOCAL_GROUP_ROWS = 1_000_000
+
 PID = "_pid"
 LOCAL = "_local"
 _LOCAL_BITS = 33
@@ -52,6 +57,36 @@ def with_global_index(df: DataFrame, order: list[str], name: str = "gidx") -> Da
     )
 
 
+def _by_group_size(
+    df: DataFrame, keys: list[str], census: DataFrame | None, local_rows: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of groups that one task may scan, and the rows of larger groups if there are any.
+
+    The groups are counted over ``census``, rows with the same keys that are cheaper to read than
+    ``df``; counting combines before its shuffle. At most rows / ``local_rows`` groups are large.
+    """
+    group = F.to_json(F.struct(*keys))
+    counts = (df if census is None else census).groupBy(*keys).agg(F.count("*").alias("_n"))
+    beyond = counts.where(F.col("_n") > local_rows).select(group.alias("_group"))
+    if beyond.isEmpty():
+        return df, None
+    named = df.withColumn("_group", group)
+    return (
+        skew.lookup_join(named, beyond, "_group", "left_anti").drop("_group"),
+        skew.lookup_join(named, beyond, "_group", "left_semi").drop("_group"),
+    )
+
+
+def _scanned_locally(df: DataFrame, keys: list[str], order: list[str], **scans: Column) -> DataFrame:
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).withColumns(scans)
+
+
+def _summaries(staged: DataFrame, scan: str) -> list:
+    """The summary of each range partition, in order."""
+    found = staged.where(F.col(f"{scan}.summary").isNotNull()).select(PID, f"{scan}.summary")
+    return found.orderBy(PID).collect()
+
+
 def _group_hashes(keys: list[str]) -> tuple[Column, Column]:
     """128 bits that stand for a group when neighbouring rows are compared."""
     cols = [F.col(k) for k in keys]
@@ -192,7 +227,8 @@ def _pack_scan(max_items: int, max_size: int):
         if columns:
             yield from _in_batches(batch_sizes, _pack_partition(*columns, max_items, max_size))
 
-    return scan
+    # The answer depends on row order; a deterministic function would let the optimiser drop the sort.
+    return scan.asNondeterministic()
 
 
 def _chain_packs(summaries: list, max_items: int, max_size: int) -> list[tuple]:
@@ -242,22 +278,40 @@ def _chain_packs(summaries: list, max_items: int, max_size: int) -> list[tuple]:
 
 
 def with_packs(
-    df: DataFrame, keys: list[str], order: list[str], size: Column, max_items: int, max_size: int
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    size: Column,
+    max_items: int,
+    max_size: int,
+    census: DataFrame | None = None,
+    local_rows: int = LOCAL_GROUP_ROWS,
 ) -> DataFrame:
     """Greedy packing of each group in order.
 
     A new pack begins when the open one holds ``max_items`` items or would exceed ``max_size``. Adds
     ``pack`` (0-based in the group), ``group_items`` and ``group_packs``.
     """
-    spark = df.sparkSession
-    first_hash, second_hash = _group_hashes(keys)
-    scan = _pack_scan(max_items, max_size)(first_hash, second_hash, size.cast("long"))
+    scan = _pack_scan(max_items, max_size)(*_group_hashes(keys), size.cast("long"))
+    usual, large = _by_group_size(df, keys, census, local_rows)
+    packed = _scanned_locally(usual, keys, order, _pack=scan).withColumns(
+        {
+            "pack": F.get("_pack.labels", F.lit(0)),
+            "group_items": F.col("_pack.items"),
+            "group_packs": F.col("_pack.packs"),
+        }
+    ).drop("_pack")
+    if large is None:
+        return packed
+    return packed.unionByName(_pack_large(large, keys, order, scan, max_items, max_size))
+
+
+def _pack_large(
+    df: DataFrame, keys: list[str], order: list[str], scan: Column, max_items: int, max_size: int
+) -> DataFrame:
     staged = stage_ordered(df, [*keys, *order], "packs", _pack=scan)
-    summaries = (
-        staged.where(F.col("_pack.summary").isNotNull()).select(PID, "_pack.summary").orderBy(PID).collect()
-    )
-    carried = spark.createDataFrame(
-        _chain_packs(summaries, max_items, max_size),
+    carried = df.sparkSession.createDataFrame(
+        _chain_packs(_summaries(staged, "_pack"), max_items, max_size),
         f"{PID} long, _entry int, _base long, _first_items long, _first_packs long, "
         "_last_items long, _last_packs long",
     )
@@ -337,22 +391,28 @@ def _chain_runs(summaries: list) -> list[tuple[int, int]]:
 
 
 def with_run_length(
-    df: DataFrame, keys: list[str], order: list[str], flag: Column, name: str = "run_length"
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    flag: Column,
+    name: str = "run_length",
+    census: DataFrame | None = None,
+    local_rows: int = LOCAL_GROUP_ROWS,
 ) -> DataFrame:
     """How many rows in a row, up to this one, carry ``flag`` in their group; 0 on rows without it."""
-    spark = df.sparkSession
-    first_hash, second_hash = _group_hashes(keys)
-    scan = _run_scan(first_hash, second_hash, flag.cast("boolean"))
-    staged = stage_ordered(df, [*keys, *order], "runs", _run=scan)
-    summaries = (
-        staged.where(F.col("_run.summary").isNotNull()).select(PID, "_run.summary").orderBy(PID).collect()
+    scan = _run_scan.asNondeterministic()(*_group_hashes(keys), flag.cast("boolean"))
+    usual, large = _by_group_size(df, keys, census, local_rows)
+    counted = _scanned_locally(usual, keys, order, _run=scan).withColumn(name, F.col("_run.length")).drop("_run")
+    if large is None:
+        return counted
+    staged = stage_ordered(large, [*keys, *order], "runs", _run=scan)
+    carried = df.sparkSession.createDataFrame(
+        _chain_runs(_summaries(staged, "_run")), f"{PID} long, _carry long"
     )
-    carried = spark.createDataFrame(_chain_runs(summaries), f"{PID} long, _carry long")
-    return (
+    carry = F.when(F.col("_run.leading"), F.col("_carry")).otherwise(0)
+    spanning = (
         staged.join(F.broadcast(carried), PID)
-        .withColumn(
-            name,
-            F.col("_run.length") + F.when(F.col("_run.leading"), F.col("_carry")).otherwise(0),
-        )
+        .withColumn(name, F.col("_run.length") + carry)
         .drop(PID, LOCAL, "_run", "_carry")
     )
+    return counted.unionByName(spanning)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dictforge.operators.ordered import with_global_index
+from dictforge.operators import ordered
 
 SALTS = 32
 MAX_HOT_KEYS = 64
@@ -66,10 +66,18 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 
 def lookup_join(
-    big: DataFrame, dim: DataFrame, key: str, how: str = "left", spread: str | None = None
+    big: DataFrame,
+    dim: DataFrame,
+    key: str,
+    how: str = "left",
+    spread: str | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Broadcast a dimension of checked size, otherwise fall back to the salted shuffle join."""
-    if fits_broadcast(dim):
+    """Broadcast a dimension of checked size, otherwise fall back to the salted shuffle join.
+
+    ``small`` is the result of an earlier ``fits_broadcast`` of the same dimension.
+    """
+    if fits_broadcast(dim) if small is None else small:
         return big.join(F.broadcast(dim), key, how)
     return salted_join(big, dim, key, how, spread)
 
@@ -115,6 +123,6 @@ def block_lists(
     if beyond.isEmpty():
         return gather(valued, key).withColumn("block", F.lit(None).cast("long"))
     usual = gather(lookup_join(valued, beyond, key, "left_anti"), key)
-    large = with_global_index(lookup_join(valued, beyond, key, "left_semi"), [key, *order], "_pos")
+    large = ordered.with_global_index(lookup_join(valued, beyond, key, "left_semi"), [key, *order], "_pos")
     blocks = gather(large.withColumn("block", F.expr(f"_pos div {per_row}")), key, "block")
     return usual.withColumn("block", F.lit(None).cast("long")).unionByName(blocks)

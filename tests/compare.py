@@ -37,10 +37,11 @@ def oracle(sf_dir: str, sql: str) -> tuple[list[str], list]:
 
 
 def difference(df: DataFrame, sf_dir: str, sql: str) -> str | None:
+    collected = df.collect()
     columns, rows = oracle(sf_dir, sql)
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
-    got, expected = rows_of(df.columns, df.collect()), rows_of(columns, rows)
+    got, expected = rows_of(df.columns, collected), rows_of(columns, rows)
     if got == expected:
         return None
     only_got, only_expected = got - expected, expected - got
@@ -59,14 +60,16 @@ def main(sf_dir: str, names: list[str]) -> int:
         if names and name not in names:
             continue
         start = time.time()
+        planned = 0.0
         try:
             df = fn(spark, sf_dir)
+            planned = time.time() - start
             sql = contract.oracle_sql().get(name)
             problem = difference(df, sf_dir, sql) if sql else f"rows only: {df.count()}"
         except Exception as error:  # noqa: BLE001  (report and go on)
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         failed += bool(problem)
-        print(f"{name:28s} {time.time() - start:6.2f}s {problem or 'ok'}", flush=True)
+        print(f"{name:28s} eager {planned:6.2f}s all {time.time() - start:6.2f}s {problem or 'ok'}", flush=True)
     return failed
 
 
