@@ -19,6 +19,10 @@ from pyspark.sql.types import StringType
 SPACE = r"(?U)[\s\x1c-\x1f]"
 EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 WHOLE_WORD_NAN = r"(?<![\p{L}\p{N}_])nan(?![\p{L}\p{N}_])"
+MAYBE_ENTITY = r"&[^\t\n\f <&;]"
+MARKUP = (
+    r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>|</?[a-z!][^>]*>"
+)
 LAST_SEQUENCE = 999999
 
 _NON_ASCII_DIGITS = "".join(
@@ -50,14 +54,24 @@ def _unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield batch.map(html.unescape, na_action="ignore")
 
 
+def unescaped(c: Column) -> Column:
+    """Text of rows that may hold an entity, null for the others, which are not sent to Python."""
+    return _unescape(F.when(F.contains(c, F.lit("&")) & F.rlike(c, F.lit(MAYBE_ENTITY)), c))
+
+
 def unescape_html(c: Column) -> Column:
-    """HTML entities to text. Only rows with an ampersand are sent to Python."""
-    return F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)
+    """HTML entities to text."""
+    return F.coalesce(unescaped(c), c)
 
 
 def normalize(c: Column) -> Column:
     """One-line form of a dictionary text: entities, spacing, spaced numbers, doubled marks, plus signs."""
-    text = collapse_space(unescape_html(text_or_empty(c)))
+    return normalize_unescaped(unescape_html(text_or_empty(c)))
+
+
+def normalize_unescaped(c: Column) -> Column:
+    """The native part of ``normalize``, for texts whose entities are undone."""
+    text = collapse_space(c)
     text = F.regexp_replace(text, r"(\p{Nd}), (\p{Nd})", "$1,$2")
     text = F.regexp_replace(text, r"([.,])\1+", "$1")
     return F.trim(F.translate(text, "+", " "))
@@ -65,24 +79,17 @@ def normalize(c: Column) -> Column:
 
 def html_to_text(c: Column) -> Column:
     """Visible text of an HTML fragment whose markup may itself be escaped once."""
-    text = unescape_html(text_or_empty(c))
-    text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>", " ")
-    text = F.regexp_replace(text, r"</?[A-Za-z!][^>]*>", " ")
+    text = F.regexp_replace(unescape_html(text_or_empty(c)), MARKUP, " ")
     return F.trim(collapse_space(unescape_html(text)))
 
 
 def reference_codes(c: Column, regex: str) -> Column:
     """All ``(InternalCode, ReferenceCode)`` links of a raw text, in order of appearance."""
-    raw = text_or_empty(c)
     return F.transform(
-        F.arrays_zip(
-            F.regexp_extract_all(raw, F.lit(regex), F.lit(1)).alias("internal"),
-            F.regexp_extract_all(raw, F.lit(regex), F.lit(2)).alias("code"),
-        ),
+        F.regexp_extract_all(text_or_empty(c), F.lit(regex), F.lit(0)),
         lambda m: F.struct(
-            m["internal"].alias("InternalCode"),
-            F.regexp_replace(m["code"], r"\.+$", "").alias("ReferenceCode"),
+            F.regexp_extract(m, regex, 1).alias("InternalCode"),
+            F.regexp_replace(F.regexp_extract(m, regex, 2), r"\.+$", "").alias("ReferenceCode"),
         ),
     )
 

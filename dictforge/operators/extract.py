@@ -116,6 +116,8 @@ def clean_meanings(joined: DataFrame, titles: DataFrame, cfg: Config) -> DataFra
         "refs",
         F.when(has_source, source).alias("source"),
         T.text_or_empty(F.col("SourceShortText")).alias("source_short"),
+        # Cleaning never lengthens a text, so this bounds the number of its parts without cleaning it.
+        F.length(T.text_or_empty(F.col("MeaningText"))).alias("raw_chars"),
         *[c for c in ("has_ext",) if c in rows.columns],
     )
 

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 from dictforge.config import Config
 from dictforge.functions import text as T
-from dictforge.operators.ordered import with_packs
+from dictforge.operators.ordered import by_group_size, with_packs, with_packs_of_large_groups
 from dictforge.operators.skew import fits_broadcast, lookup_join
 
+# Meanings of one group that may meet in a row; their texts are already cut to the split limit.
+GROUP_ROWS = 1_000
+
 _BREAKS = re.compile("[।\n.]")
 
 
@@ -117,62 +120,135 @@ def pack_meanings(
     )
 
 
-def merged_text(type_col: Column, gender_col: Column, text: Column) -> Column:
-    """``type gender text`` on one line."""
+def merged_line(type_col: Column, gender_col: Column, text: Column) -> Column:
+    """``type gender text`` on one line; ``text`` has its entities undone."""
     pieces = F.concat_ws(
-        " ", T.strip(T.text_or_empty(type_col)), T.strip(T.text_or_empty(gender_col)), T.normalize(text)
+        " ", T.strip(T.text_or_empty(type_col)), T.strip(T.text_or_empty(gender_col)), T.normalize_unescaped(text)
     )
     return T.collapse_space(T.strip(pieces))
 
 
-def merge_packs(
-    packed: DataFrame,
+_ORDER = ("seq_sort", "meaning_ord", "part_ord")
+_FIELDS = ("Type", "TypeGender", "text", "seq_no", "ManagedType", "refs", "ExtensionLinks", "part_index", "total_parts")
+
+
+def _pack_bounds(items: Column, cfg: Config) -> Column:
+    """Position of the first item of each pack of one group, by a fold over its items."""
+
+    def step(state: Column, item: Column) -> Column:
+        opens = (
+            (F.size(state["starts"]) == 0)
+            | (state["count"] >= cfg.meanings_per_record)
+            | (state["chars"] + item["chars"] > cfg.max_chars_per_split)
+        )
+        return F.struct(
+            F.when(opens, F.array_append(state["starts"], state["at"])).otherwise(state["starts"]).alias("starts"),
+            F.when(opens, F.lit(1)).otherwise(state["count"] + 1).alias("count"),
+            F.when(opens, item["chars"]).otherwise(state["chars"] + item["chars"]).alias("chars"),
+            (state["at"] + 1).alias("at"),
+        )
+
+    begin = F.struct(
+        F.array().cast("array<int>").alias("starts"), F.lit(0).alias("count"),
+        F.lit(0).alias("chars"), F.lit(1).alias("at"),
+    )
+    return F.aggregate(items, begin, step, lambda state: state["starts"])
+
+
+def _packs_in_rows(rows: DataFrame, item: Column, cfg: Config, keys: tuple[str, ...]) -> DataFrame:
+    """Packs of groups that fit one row: one shuffle on the group, everything else inside the row."""
+    grouped = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("group"))
+    bounds = F.when(F.size("group") == 1, F.array(F.lit(1))).otherwise(_pack_bounds(F.col("group"), cfg))
+    bounded = grouped.withColumn("starts", bounds)
+
+    def cut(start: Column, at: Column) -> Column:
+        after = F.coalesce(F.get("starts", at + 1), F.size("group") + 1)
+        return F.slice("group", start, after - start)
+
+    return bounded.select(
+        *keys,
+        F.size("group").cast("long").alias("group_items"),
+        F.size("starts").cast("long").alias("group_packs"),
+        F.posexplode(F.transform("starts", cut)).alias("pack", "items"),
+    )
+
+
+def _packs_across_rows(rows: DataFrame, item: Column, cfg: Config, keys: tuple[str, ...]) -> DataFrame:
+    """Packs of groups of any size; only the members of one pack meet in a row."""
+    packed = with_packs_of_large_groups(
+        rows, list(keys), list(_ORDER), F.col("chars"), cfg.meanings_per_record, cfg.max_chars_per_split
+    )
+    return packed.groupBy(*keys, "group_items", "group_packs", F.col("pack").cast("int").alias("pack")).agg(
+        F.array_sort(F.collect_list(item)).alias("items")
+    )
+
+
+def merge_groups(
+    rows: DataFrame,
     cfg: Config,
     keys: tuple[str, ...] = ("word_ord", "source_short"),
     carried: tuple[str, ...] = (),
+    census: DataFrame | None = None,
+    local_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Merge each pack of a group of several meanings into one row.
+    """Pack the meanings of each group in sequence order and merge every pack into one row.
 
-    Packs hold at most ``meanings_per_record`` rows, so every gathered list is small whatever the size
-    of the group. ``carried`` columns come from the first row of the pack.
+    A group of a single meaning passes as it is. ``carried`` columns come from the first row of a pack.
+    Texts are at most ``max_chars_per_split`` long here, so a group of ``local_rows`` fits a row; larger
+    groups are spread over range partitions.
     """
-    first_only = ["meaning_ord", "part_ord", "part_index", "total_parts", *carried]
-    item = F.struct(
-        "seq_sort", *[F.col(c) for c in first_only[:2]],
-        merged_text(F.col("Type"), F.col("TypeGender"), F.col("text")).alias("line"),
-        F.when(T.strip(T.text_or_empty(F.col("seq_no"))) != "", F.col("seq_no")).alias("seq_no"),
-        "ManagedType", "refs", "ExtensionLinks",
-        *[F.col(c) for c in first_only[2:]],
-    )
-    # The leading fields of an item are a total order, so sorting the structs sorts the pack.
-    gathered = (
-        packed.groupBy(*keys, "pack", "group_packs")
-        .agg(F.array_sort(F.collect_list(item)).alias("items"))
-        .withColumn("first", F.get("items", F.lit(0)))
+    text = T.text_or_empty(F.col("text"))
+    sized = rows.withColumns(
+        {
+            "seq_sort": T.sequence_key(F.col("seq_no"), cfg.seqno_regex),
+            "chars": F.length(T.strip(text)),
+            "unescaped": T.unescaped(text),
+        }
     )
+    # The leading fields of an item are a total order, so sorting the structs sorts the group.
+    item = F.struct(*_ORDER, "chars", "unescaped", *_FIELDS, *carried)
+    usual, large = by_group_size(sized, list(keys), census, local_rows)
+    gathered = _packs_in_rows(usual, item, cfg, keys)
+    if large is not None:
+        gathered = gathered.unionByName(_packs_across_rows(large, item, cfg, keys))
+    return _merged_rows(gathered.withColumn("first", F.get("items", F.lit(0))), rows, cfg, keys, carried)
+
+
+def _merged_rows(
+    gathered: DataFrame, rows: DataFrame, cfg: Config, keys: tuple[str, ...], carried: tuple[str, ...]
+) -> DataFrame:
+    several = F.col("group_items") > 1
 
-    def union_of(field: str) -> Column:
-        lists = F.transform("items", lambda i: F.coalesce(i[field], F.array().cast(_array_type(packed, field))))
-        united = F.array_distinct(F.flatten(lists))
-        use_union = (F.size(united) > 0) & (F.lit(cfg.keep_all_citations) | (F.col("pack") == 0))
-        return F.when(use_union, united).otherwise(F.col(f"first.{field}"))
+    def unless_single(field: str, merged: Column) -> Column:
+        return F.when(several, merged).otherwise(F.col(f"first.{field}")).alias(field)
 
-    numbered = F.col("group_packs") > 1
+    def united(field: str) -> Column:
+        lists = F.transform("items", lambda i: F.coalesce(i[field], F.array().cast(_array_type(rows, field))))
+        distinct = F.array_distinct(F.flatten(lists))
+        use_union = (F.size(distinct) > 0) & (F.lit(cfg.keep_all_citations) | (F.col("pack") == 0))
+        return F.when(use_union, distinct).otherwise(F.col(f"first.{field}"))
+
+    def line(i: Column) -> Column:
+        return merged_line(i["Type"], i["TypeGender"], F.coalesce(i["unescaped"], i["text"], F.lit("")))
+
+    def numbered(i: Column) -> Column:
+        return F.when(T.strip(T.text_or_empty(i["seq_no"])) != "", i["seq_no"])
+
+    tags = F.array_sort(F.array_distinct(F.flatten(F.transform("items", lambda i: i["ManagedType"]))))
+    parted = F.col("group_packs") > 1
     return gathered.select(
         *keys,
         *[F.col(f"first.{c}").alias(c) for c in ("meaning_ord", "part_ord", *carried)],
-        F.array_join(F.transform("items", lambda i: i["line"]), "\n").alias("text"),
-        F.array_join(F.transform("items", lambda i: i["seq_no"]), ",").alias("seq_no"),
-        F.lit("").alias("Type"),
-        F.lit("").alias("TypeGender"),
-        F.array_sort(F.array_distinct(F.flatten(F.transform("items", lambda i: i["ManagedType"])))).alias(
-            "ManagedType"
-        ),
-        union_of("refs").alias("refs"),
-        union_of("ExtensionLinks").alias("ExtensionLinks"),
-        F.when(numbered, (F.col("pack") + 1).cast("int")).otherwise(F.col("first.part_index")).alias("part_index"),
-        F.when(numbered, F.col("group_packs").cast("int")).otherwise(F.col("first.total_parts")).alias("total_parts"),
-        F.col("pack"),
+        unless_single("text", F.array_join(F.transform("items", line), "\n")),
+        unless_single("seq_no", F.array_join(F.transform("items", numbered), ",")),
+        unless_single("Type", F.lit("")),
+        unless_single("TypeGender", F.lit("")),
+        unless_single("ManagedType", tags),
+        unless_single("refs", united("refs")),
+        unless_single("ExtensionLinks", united("ExtensionLinks")),
+        F.when(parted, F.col("pack") + 1).otherwise(F.col("first.part_index")).alias("part_index"),
+        F.when(parted, F.col("group_packs").cast("int")).otherwise(F.col("first.total_parts")).alias("total_parts"),
+        F.col("pack").cast("long").alias("pack"),
     )
 
 
@@ -194,6 +270,8 @@ def merge_content(
     )
 
     small = fits_broadcast(labels)
+    if "raw_chars" not in routed.columns:
+        routed = routed.withColumn("raw_chars", F.length(T.text_or_empty(F.col("text"))))
 
     def prepared(wanted: Column) -> DataFrame:
         # Routed before the split, so each branch splits and tags its own rows only.
@@ -209,14 +287,13 @@ def merge_content(
     alone = prepared(F.col("unmerged")).select(
         *kept, F.lit(0).alias("emit"), F.lit(0).cast("long").alias("pack")
     )
-    packed = pack_meanings(prepared(~F.col("unmerged")), cfg, census=routed)
-    single = packed.where(F.col("group_items") == 1).select(
-        *kept, F.lit(1).alias("emit"), F.lit(0).cast("long").alias("pack")
+    census = routed.where(~F.col("unmerged")).select(
+        "word_ord", "source_short", (F.lit(1) + F.floor(F.col("raw_chars") / cfg.max_chars_per_split)).alias("weight")
     )
-    merged = merge_packs(packed.where(F.col("group_items") > 1), cfg, carried=carried).select(
+    merged = merge_groups(prepared(~F.col("unmerged")), cfg, carried=carried, census=census).select(
         *kept, F.lit(1).alias("emit"), "pack"
     )
-    return alone.unionByName(single).unionByName(merged).withColumn(
+    return alone.unionByName(merged).withColumn(
         "content_ord",
         F.struct(
             T.sequence_key(F.col("seq_no"), cfg.seqno_regex).alias("seq"),

@@ -57,16 +57,19 @@ def with_global_index(df: DataFrame, order: list[str], name: str = "gidx") -> Da
     )
 
 
-def _by_group_size(
+def by_group_size(
     df: DataFrame, keys: list[str], census: DataFrame | None, local_rows: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of groups that one task may scan, and the rows of larger groups if there are any.
 
     The groups are counted over ``census``, rows with the same keys that are cheaper to read than
-    ``df``; counting combines before its shuffle. At most rows / ``local_rows`` groups are large.
+    ``df``; its ``weight`` column, if any, is the number of rows one of them stands for. Counting
+    combines before its shuffle. At most rows / ``local_rows`` groups are large.
     """
     group = F.to_json(F.struct(*keys))
-    counts = (df if census is None else census).groupBy(*keys).agg(F.count("*").alias("_n"))
+    counted = df if census is None else census
+    weight = F.sum("weight") if "weight" in counted.columns else F.count("*")
+    counts = counted.groupBy(*keys).agg(weight.alias("_n"))
     beyond = counts.where(F.col("_n") > local_rows).select(group.alias("_group"))
     if beyond.isEmpty():
         return df, None
@@ -87,6 +90,12 @@ def _summaries(staged: DataFrame, scan: str) -> list:
     return found.orderBy(PID).collect()
 
 
+def _local_rows(df: DataFrame, rows: list[tuple], names: list[str]) -> DataFrame:
+    """One row of numbers per range partition, as a frame."""
+    columns = [pa.array([row[i] for row in rows], pa.int64()) for i in range(len(names))]
+    return df.sparkSession.createDataFrame(pa.table(dict(zip(names, columns, strict=True))))
+
+
 def _group_hashes(keys: list[str]) -> tuple[Column, Column]:
     """128 bits that stand for a group when neighbouring rows are compared."""
     cols = [F.col(k) for k in keys]
@@ -277,6 +286,14 @@ def _chain_packs(summaries: list, max_items: int, max_size: int) -> list[tuple]:
     ]
 
 
+def with_packs_of_large_groups(
+    df: DataFrame, keys: list[str], order: list[str], size: Column, max_items: int, max_size: int
+) -> DataFrame:
+    """``with_packs`` for groups of any size, always by range partitions."""
+    scan = _pack_scan(max_items, max_size)(*_group_hashes(keys), size.cast("long"))
+    return _pack_large(df, keys, order, scan, max_items, max_size)
+
+
 def with_packs(
     df: DataFrame,
     keys: list[str],
@@ -293,7 +310,7 @@ def with_packs(
     ``pack`` (0-based in the group), ``group_items`` and ``group_packs``.
     """
     scan = _pack_scan(max_items, max_size)(*_group_hashes(keys), size.cast("long"))
-    usual, large = _by_group_size(df, keys, census, local_rows)
+    usual, large = by_group_size(df, keys, census, local_rows)
     packed = _scanned_locally(usual, keys, order, _pack=scan).withColumns(
         {
             "pack": F.get("_pack.labels", F.lit(0)),
@@ -310,13 +327,12 @@ def _pack_large(
     df: DataFrame, keys: list[str], order: list[str], scan: Column, max_items: int, max_size: int
 ) -> DataFrame:
     staged = stage_ordered(df, [*keys, *order], "packs", _pack=scan)
-    carried = df.sparkSession.createDataFrame(
-        _chain_packs(_summaries(staged, "_pack"), max_items, max_size),
-        f"{PID} long, _entry int, _base long, _first_items long, _first_packs long, "
-        "_last_items long, _last_packs long",
+    carried = _local_rows(
+        df, _chain_packs(_summaries(staged, "_pack"), max_items, max_size),
+        [PID, "_entry", "_base", "_first_items", "_first_packs", "_last_items", "_last_packs"],
     )
     first, last = F.col("_pack.first"), F.col("_pack.last")
-    label = F.get("_pack.labels", F.when(first, F.col("_entry")).otherwise(0))
+    label = F.get("_pack.labels", F.when(first, F.col("_entry")).otherwise(0).cast("int"))
     return (
         staged.join(F.broadcast(carried), PID)
         .withColumn("pack", F.when(first, F.col("_base")).otherwise(0) + label)
@@ -401,14 +417,12 @@ def with_run_length(
 ) -> DataFrame:
     """How many rows in a row, up to this one, carry ``flag`` in their group; 0 on rows without it."""
     scan = _run_scan.asNondeterministic()(*_group_hashes(keys), flag.cast("boolean"))
-    usual, large = _by_group_size(df, keys, census, local_rows)
+    usual, large = by_group_size(df, keys, census, local_rows)
     counted = _scanned_locally(usual, keys, order, _run=scan).withColumn(name, F.col("_run.length")).drop("_run")
     if large is None:
         return counted
     staged = stage_ordered(large, [*keys, *order], "runs", _run=scan)
-    carried = df.sparkSession.createDataFrame(
-        _chain_runs(_summaries(staged, "_run")), f"{PID} long, _carry long"
-    )
+    carried = _local_rows(df, _chain_runs(_summaries(staged, "_run")), [PID, "_carry"])
     carry = F.when(F.col("_run.leading"), F.col("_carry")).otherwise(0)
     spanning = (
         staged.join(F.broadcast(carried), PID)

@@ -67,10 +67,8 @@ def sql_valid(x: str) -> str:
 
 def sql_html(x: str) -> str:
     text = sql_unescape(f"coalesce({x}, '')")
-    text = f"regexp_replace({text}, '(?s)<!--.*?-->', ' ', 'g')"
-    for tag in ("script", "style", "template"):
-        text = rf"regexp_replace({text}, '(?is)<{tag}\b[^>]*>.*?</{tag}\s*>', ' ', 'g')"
-    text = f"regexp_replace({text}, '</?[A-Za-z!][^>]*>', ' ', 'g')"
+    bodies = "|".join(rf"<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in ("script", "style", "template"))
+    text = f"regexp_replace({text}, '(?is)<!--.*?-->|{bodies}|</?[a-z!][^>]*>', ' ', 'g')"
     return f"trim({sql_collapse(sql_unescape(text))})"
 
 

@@ -81,11 +81,11 @@ def dictionary(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def labels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LABELS, "kind string, raw string, label string")
+    return spark.sql(f"SELECT * FROM VALUES {_values(LABELS)} AS t(kind, raw, label)")
 
 
 def categories(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATEGORIES, "ext_type string, category string")
+    return spark.sql(f"SELECT * FROM VALUES {_values(CATEGORIES)} AS t(ext_type, category)")
 
 
 def _values(rows: list[tuple[str, ...]]) -> str:

@@ -167,12 +167,13 @@ _LINE = sql_collapse(sql_strip("concat('t', doc_id % 3, ' g ', " + sql_normalize
 
 
 @query(f"""WITH RECURSIVE {_pack_rows(4, 6000)},
-totals AS (SELECT word, max(pack) + 1 AS packs FROM packed GROUP BY word),
+totals AS (SELECT word, max(pack) + 1 AS packs, count(*) AS items FROM packed GROUP BY word),
 lines AS (SELECT word, pack, i, doc_id, seq_no, {_LINE} AS line FROM packed JOIN placed USING (word, i, doc_id)),
 merged AS (SELECT word, pack, min_by(doc_id, i) AS first_doc, string_agg(line, chr(10) ORDER BY i) AS text,
   coalesce(string_agg(seq_no, ',' ORDER BY i), '') AS seq_no,
   list_distinct(list(concat('tag', doc_id % 3))) AS tags FROM lines GROUP BY word, pack)
-SELECT first_doc, text, seq_no, array_to_string(list_sort(tags), ',') AS tags,
+SELECT first_doc, CASE WHEN items = 1 THEN (SELECT d.text FROM documents d WHERE d.doc_id = first_doc) ELSE merged.text END AS text,
+  CASE WHEN items > 1 OR seq_no <> '' THEN seq_no END AS seq_no, array_to_string(list_sort(tags), ',') AS tags,
   CASE WHEN packs > 1 THEN pack + 1 END AS part_index, CASE WHEN packs > 1 THEN packs END AS total_parts
 FROM merged JOIN totals USING (word)""")
 def merge_meanings(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,7 +188,7 @@ def merge_meanings(spark: SparkSession, sf: str) -> DataFrame:
             "total_parts": F.lit(None).cast("int"),
         }
     )
-    return merge.merge_packs(merge.pack_meanings(rows, _WIDE), _WIDE).select(
+    return merge.merge_groups(rows, _WIDE).select(
         F.col("meaning_ord").alias("first_doc"), "text", "seq_no",
         F.array_join("ManagedType", ",").alias("tags"),
         F.col("part_index").cast("long").alias("part_index"),
