@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 SPACE = r"(?U)[\s\x1c-\x1f]"
-EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+WHITE_SPACE = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
 WHOLE_WORD_NAN = r"(?<![\p{L}\p{N}_])nan(?![\p{L}\p{N}_])"
 MAYBE_ENTITY = r"&[^\t\n\f <&;]"
 MARKUP = (
@@ -41,7 +41,7 @@ def is_blank(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, EDGE_SPACE, "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def collapse_space(c: Column) -> Column:
@@ -112,14 +112,10 @@ def label_tokens(label: Column, split_regex: str, exclude_keywords: tuple[str, .
     return F.filter(F.transform(F.split(text_or_empty(label), split_regex), strip), keep)
 
 
-def managed_types(
-    type_label: Column, gender_label: Column, split_regex: str, exclude_keywords: tuple[str, ...]
-) -> Column:
-    """Sorted distinct tags of a type label and a gender label."""
-    tokens = F.concat(
-        label_tokens(type_label, split_regex, exclude_keywords),
-        label_tokens(gender_label, split_regex, exclude_keywords),
-    )
+def managed_types(type_tokens: Column, gender_tokens: Column) -> Column:
+    """Sorted distinct tags of the tokens of a type and of a gender."""
+    none = F.array().cast("array<string>")
+    tokens = F.concat(F.coalesce(type_tokens, none), F.coalesce(gender_tokens, none))
     return F.array_sort(F.array_distinct(tokens))
 
 

@@ -89,16 +89,15 @@ def with_managed_types(
     tagged = rows
     for kind, column in (("type", "Type"), ("gender", "TypeGender")):
         dim = labels.where(F.col("kind") == kind).select(
-            F.col("raw").alias(f"_{kind}"), F.col("label").alias(f"_{kind}_label")
+            F.col("raw").alias(f"_{kind}"),
+            # Labels are cut here, once per label and not once per meaning.
+            T.label_tokens(F.col("label"), cfg.split_regex, cfg.exclude_keywords).alias(f"_{kind}_tokens"),
         )
         tagged = tagged.withColumn(f"_{kind}", T.strip(T.text_or_empty(F.col(column))))
         tagged = lookup_join(tagged, dim, f"_{kind}", small=small)
     return tagged.withColumn(
-        "ManagedType",
-        T.managed_types(
-            F.col("_type_label"), F.col("_gender_label"), cfg.split_regex, cfg.exclude_keywords
-        ),
-    ).drop("_type", "_gender", "_type_label", "_gender_label")
+        "ManagedType", T.managed_types(F.col("_type_tokens"), F.col("_gender_tokens"))
+    ).drop("_type", "_gender", "_type_tokens", "_gender_tokens")
 
 
 def pack_meanings(
@@ -249,7 +248,17 @@ def _merged_rows(
         F.when(parted, F.col("pack") + 1).otherwise(F.col("first.part_index")).alias("part_index"),
         F.when(parted, F.col("group_packs").cast("int")).otherwise(F.col("first.total_parts")).alias("total_parts"),
         F.col("pack").cast("long").alias("pack"),
+        *([_link_members(cfg).alias("link_members")] if "MeaningId" in carried else []),
+    )
+
+
+def _link_members(cfg: Config) -> Column:
+    """Meanings whose links a merged row shows; at most the members of one pack."""
+    whole = F.filter("items", lambda i: i["part_ord"] == 0)
+    shown = F.when(F.lit(cfg.keep_all_citations) | (F.col("pack") == 0), whole).otherwise(
+        F.filter(F.slice("items", 1, 1), lambda i: i["part_ord"] == 0)
     )
+    return F.transform(shown, lambda i: i["MeaningId"])
 
 
 def _array_type(df: DataFrame, column: str) -> str:
@@ -283,15 +292,17 @@ def merge_content(
     )
     kept = ["word_ord", "source_short", "meaning_ord", "part_ord", *carried, "text", "seq_no", "Type",
             "TypeGender", "ManagedType", "refs", "ExtensionLinks", "part_index", "total_parts"]
+    members = ["link_members"] if "MeaningId" in carried else []
+    own = F.when(F.col("part_ord") == 0, F.array("MeaningId")) if members else F.lit(None)
 
     alone = prepared(F.col("unmerged")).select(
-        *kept, F.lit(0).alias("emit"), F.lit(0).cast("long").alias("pack")
+        *kept, *[own.alias(m) for m in members], F.lit(0).alias("emit"), F.lit(0).cast("long").alias("pack")
     )
     census = routed.where(~F.col("unmerged")).select(
         "word_ord", "source_short", (F.lit(1) + F.floor(F.col("raw_chars") / cfg.max_chars_per_split)).alias("weight")
     )
     merged = merge_groups(prepared(~F.col("unmerged")), cfg, carried=carried, census=census).select(
-        *kept, F.lit(1).alias("emit"), "pack"
+        *kept, *members, F.lit(1).alias("emit"), "pack"
     )
     return alone.unionByName(merged).withColumn(
         "content_ord",

@@ -57,7 +57,8 @@ def test_validate(spark):
     ],
 )
 def test_tags(spark, type_label, gender_label, tags):
-    expr = T.managed_types(F.col("t"), F.col("g"), CFG.split_regex, CFG.exclude_keywords)
+    tokens = [T.label_tokens(F.col(c), CFG.split_regex, CFG.exclude_keywords) for c in ("t", "g")]
+    expr = T.managed_types(*tokens)
     assert one(spark, expr, t=type_label, g=gender_label) == tags
 
 
