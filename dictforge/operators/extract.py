@@ -82,8 +82,10 @@ def with_titles(df: DataFrame, titles: DataFrame, refs: str = "refs", row_id: st
     return df.drop(refs).join(gathered, row_id, "left")
 
 
-def clean_meanings(joined: DataFrame, titles: DataFrame, cfg: Config) -> DataFrame:
-    """Plain text, references and ordering columns of each joined meaning.
+def clean_meanings(
+    joined: DataFrame, titles: DataFrame, cfg: Config, passed: tuple[str, ...] = ()
+) -> DataFrame:
+    """Plain text, references and ordering columns of each joined meaning; ``passed`` columns stay.
 
     ``meaning_ord`` is the extraction order inside a word: source, sequence, id.
     """
@@ -118,7 +120,7 @@ def clean_meanings(joined: DataFrame, titles: DataFrame, cfg: Config) -> DataFra
         T.text_or_empty(F.col("SourceShortText")).alias("source_short"),
         # Cleaning never lengthens a text, so this bounds the number of its parts without cleaning it.
         F.length(T.text_or_empty(F.col("MeaningText"))).alias("raw_chars"),
-        *[c for c in ("has_ext",) if c in rows.columns],
+        *passed,
     )
 
 
@@ -204,7 +206,3 @@ def reference_audit(rows: DataFrame, titles: DataFrame, refs: str = "refs") -> D
         .select("Code", F.coalesce("Title", F.lit("NOT FOUND")).alias("Mapping"))
         .orderBy("Code")
     )
-
-
-def has_extensions(extensions: DataFrame) -> bool:
-    return not extensions.where(F.col("MeaningId").isNotNull()).isEmpty()

@@ -222,7 +222,7 @@ def _merged_rows(
         return F.when(several, merged).otherwise(F.col(f"first.{field}")).alias(field)
 
     def united(field: str) -> Column:
-        lists = F.transform("items", lambda i: F.coalesce(i[field], F.array().cast(_array_type(rows, field))))
+        lists = F.transform("items", lambda i: F.coalesce(i[field], F.array().cast(_type_of(rows, field))))
         distinct = F.array_distinct(F.flatten(lists))
         use_union = (F.size(distinct) > 0) & (F.lit(cfg.keep_all_citations) | (F.col("pack") == 0))
         return F.when(use_union, distinct).otherwise(F.col(f"first.{field}"))
@@ -261,17 +261,22 @@ def _link_members(cfg: Config) -> Column:
     return F.transform(shown, lambda i: i["MeaningId"])
 
 
-def _array_type(df: DataFrame, column: str) -> str:
+def _type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
 def merge_content(
-    rows: DataFrame, labels: DataFrame, cfg: Config, word_cols: tuple[str, ...] = ()
+    rows: DataFrame,
+    labels: DataFrame,
+    cfg: Config,
+    word_cols: tuple[str, ...] = (),
+    extension_cols: tuple[str, ...] = (),
 ) -> DataFrame:
     """Split, tag, route, pack and merge the meanings of all words.
 
     ``rows`` needs word_ord, meaning_ord, source_short, text, Type, TypeGender, seq_no, refs,
-    ExtensionLinks, has_ext and the ``word_cols``. The result adds the position of each row in its word
+    ExtensionLinks, has_ext and the ``word_cols``; ``extension_cols`` belong to the first part of unmerged
+    meanings and are null elsewhere. The result adds the position of each row in its word
     as ``content_ord``: sequence first, then unmerged rows, then groups as their source sorts.
     """
     routed = rows.withColumn(
@@ -296,13 +301,16 @@ def merge_content(
     own = F.when(F.col("part_ord") == 0, F.array("MeaningId")) if members else F.lit(None)
 
     alone = prepared(F.col("unmerged")).select(
-        *kept, *[own.alias(m) for m in members], F.lit(0).alias("emit"), F.lit(0).cast("long").alias("pack")
+        *kept,
+        *[F.when(F.col("part_ord") == 0, F.col(c)).alias(c) for c in extension_cols],
+        *[own.alias(m) for m in members], F.lit(0).alias("emit"), F.lit(0).cast("long").alias("pack")
     )
     census = routed.where(~F.col("unmerged")).select(
         "word_ord", "source_short", (F.lit(1) + F.floor(F.col("raw_chars") / cfg.max_chars_per_split)).alias("weight")
     )
     merged = merge_groups(prepared(~F.col("unmerged")), cfg, carried=carried, census=census).select(
-        *kept, *members, F.lit(1).alias("emit"), "pack"
+        *kept, *[F.lit(None).cast(_type_of(rows, c)).alias(c) for c in extension_cols],
+        *members, F.lit(1).alias("emit"), "pack"
     )
     return alone.unionByName(merged).withColumn(
         "content_ord",

@@ -327,8 +327,8 @@ def _task_query(kinds: tuple[str, ...], only: str):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         tables = dictionary(spark, sf)
         answers = tasks.extension_answers(tables["extensions"], RELATED, categories(spark))
-        rows = tasks.with_usages(merged(spark, sf).join(answers, "MeaningId", "left"), RELATED)
-        return tasks.task_records(rows, RELATED, kinds).select(
+        rows = build.merged_meanings(tables, tables["titles"], labels(spark), RELATED, answers=answers)
+        return tasks.task_records(tasks.with_usages(rows, RELATED), RELATED, kinds).select(
             "MeaningId", "task", F.col("task_ord").cast("long").alias("task_ord"), "usr_prompt", "raw_target"
         )
 
