@@ -1,6 +1,6 @@
 """Text functions, Column to Column.
 
-Java regex classes are ASCII unless told otherwise, dictionary text is not: ``SPACE``, ``\\p{Nd}`` and the
+Java regex classes are ASCII unless told otherwise, dictionary text is not: ``\\p{Nd}`` and the
 explicit letter classes below give the Unicode meaning.
 """
 
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from string import Formatter
 
 import pandas as pd
@@ -16,7 +16,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-SPACE = r"(?U)[\s\x1c-\x1f]"
+# Runs of white space other than a single U+0020, which collapsing leaves as it is.
+SPACE_TO_COLLAPSE = r"(?U)[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*| [\s\x1c-\x1f]+"
 WHITE_SPACE = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
 WHOLE_WORD_NAN = r"(?<![\p{L}\p{N}_])nan(?![\p{L}\p{N}_])"
 MAYBE_ENTITY = r"&[^\t\n\f <&;]"
@@ -35,6 +36,11 @@ def text_or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def is_blank(c: Column) -> Column:
     """Null and empty alike, as a falsy value."""
     return text_or_empty(c) == ""
@@ -45,7 +51,7 @@ def strip(c: Column) -> Column:
 
 
 def collapse_space(c: Column) -> Column:
-    return F.regexp_replace(c, SPACE + "+", " ")
+    return F.regexp_replace(c, SPACE_TO_COLLAPSE, " ")
 
 
 @F.pandas_udf(StringType())
@@ -71,9 +77,15 @@ def normalize(c: Column) -> Column:
 
 def normalize_unescaped(c: Column) -> Column:
     """The native part of ``normalize``, for texts whose entities are undone."""
-    text = collapse_space(c)
-    text = F.regexp_replace(text, r"(\p{Nd}), (\p{Nd})", "$1,$2")
-    text = F.regexp_replace(text, r"([.,])\1+", "$1")
+    # Most texts need none of the replacements, so each is tried only where its marks occur.
+    def spaced_numbers(t: Column) -> Column:
+        return F.when(F.contains(t, F.lit(", ")), F.regexp_replace(t, r"(\p{Nd}), (\p{Nd})", "$1,$2")).otherwise(t)
+
+    def doubled_marks(t: Column) -> Column:
+        doubled = F.contains(t, F.lit("..")) | F.contains(t, F.lit(",,"))
+        return F.when(doubled, F.regexp_replace(t, r"([.,])\1+", "$1")).otherwise(t)
+
+    text = let(let(collapse_space(c), spaced_numbers), doubled_marks)
     return F.trim(F.translate(text, "+", " "))
 
 
@@ -147,7 +159,8 @@ def suffixes(text: Column, regex: str) -> Column:
 def split_example(text: Column, regex: str) -> tuple[Column, Column]:
     """Text before the first example mark and, where there is one, the example behind it."""
     halves = F.split(text, regex, 2)
-    found = F.size(halves) > 1
+    # The search keeps its compiled pattern; the split, which does not, runs on texts with a mark only.
+    found = F.rlike(text, F.lit(regex))
     return (
         F.when(found, strip(F.get(halves, F.lit(0)))).otherwise(text),
         F.when(found, strip(F.get(halves, F.lit(1)))),
@@ -175,11 +188,15 @@ def is_valid_target(
 ) -> Column:
     """False for empty, runaway or placeholder texts. The length limits cut most cases before the regex."""
     text = text_or_empty(c)
-    lowered = F.lower(text)
-    valid = (F.length(text) <= max_chars) & (F.length(strip(text)) >= min_chars)
-    for blocked in blocked_texts:
-        valid = valid & ~F.contains(lowered, F.lit(blocked))
-    return valid & ~F.rlike(lowered, F.lit(WHOLE_WORD_NAN))
+
+    def unusable(lowered: Column) -> Column:
+        found = F.contains(lowered, F.lit("nan")) & F.rlike(lowered, F.lit(WHOLE_WORD_NAN))
+        for blocked in blocked_texts:
+            found = F.contains(lowered, F.lit(blocked)) | found
+        return found
+
+    fits = (F.length(text) <= max_chars) & (F.length(strip(text)) >= min_chars)
+    return fits & ~let(F.lower(text), unusable)
 
 
 def concept_key(prompt: Column, target: Column) -> Column:
