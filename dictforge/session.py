@@ -36,6 +36,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="dictforge-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/dictforge/{uuid.uuid4().hex}/{name}"
