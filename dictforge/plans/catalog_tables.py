@@ -20,7 +20,7 @@ CFG = Config()
 RELATED = Config(relation_tasks=True)
 
 _MEANING_ID = (
-    "(l_orderkey * 8 + l_linenumber) * 100000000 + (l_partkey % 100000) * 1000 + l_suppkey % 1000"
+    "((l_orderkey * 8 + l_linenumber) * 64 + CAST(l_quantity AS BIGINT)) * 100000 + (l_partkey * 7 + l_suppkey) % 100000"
 )
 _SOURCE_CODE = "chr(CAST(97 + l_suppkey % 26 AS INT))"
 INPUTS = {
