@@ -2,14 +2,47 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dictforge.llm import simhash
+from dictforge.llm import bpe, simhash, wavelet
 from dictforge.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from dictforge.session import scratch_path
 
 
 @query()
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query()
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN)
+    counted = encoded.select(
+        "doc_id", F.octet_length("ids").cast("long").alias("size"), F.sha2("ids", 256).alias("ids_sha256"), "ids"
+    )
+    return bpe.decode(counted, RANKS, PATTERN).select(
+        "doc_id", (F.col("size") / 4).cast("long").alias("n_tokens"), "ids_sha256",
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "token_shards")
+    files = wavelet.write_shards(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), target, end_id=1
+    )
+    read = wavelet.read_shards(spark, target)
+    digests = read.select(
+        "file", "doc_id", "local_start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+    return digests.join(files.select("file", "start"), "file").select(
+        "doc_id", (F.col("start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32"
+    )
