@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dictforge.llm import bpe, simhash, wavelet
+from dictforge.llm import bpe, mixing, simhash, toxicity, wavelet
 from dictforge.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from dictforge.session import scratch_path
 
@@ -46,3 +46,47 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.join(files.select("file", "start"), "file").select(
         "doc_id", (F.col("start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32"
     )
+
+
+# The counterpart orders every source by place and cuts once, with no histogram.
+OP6_SQL = r"""
+WITH rows AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5(concat_ws('|', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))), 1, 12))::BIGINT AS place
+  FROM documents),
+sources AS (
+  SELECT source, s, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+  FROM (SELECT source, sum(size)::BIGINT AS s FROM rows GROUP BY source)),
+sorted AS (
+  SELECT *, coalesce(sum(2.0 * s) OVER before, 0) AS capped, sum(w) OVER (ORDER BY 2.0 * s / w, source
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open, (SELECT 1.5 * sum(s) FROM sources) AS total
+  FROM sources WINDOW before AS (ORDER BY 2.0 * s / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT max((total - capped)::DOUBLE / open::DOUBLE) AS v FROM sorted
+  WHERE capped + open * 2.0 * s / w >= total),
+goals AS (
+  SELECT source, s, least((SELECT v FROM level) * w, 2.0 * s)::DOUBLE AS target FROM sources),
+left_over AS (
+  SELECT *, CASE WHEN s > 0 THEN floor(target / s) ELSE 0 END AS rounds FROM goals),
+cut AS (
+  SELECT r.*, g.s, g.target, g.rounds, g.target - g.rounds * g.s AS rest,
+    sum(size) OVER (PARTITION BY r.source ORDER BY place RANGE UNBOUNDED PRECEDING) AS upto
+  FROM rows r JOIN left_over g ON r.source IS NOT DISTINCT FROM g.source),
+edge AS (
+  SELECT source, coalesce(max(upto) FILTER (upto <= rest), 0) AS used, min(upto) FILTER (upto > rest) AS over
+  FROM cut GROUP BY source)
+SELECT doc_id, size, s AS source_size, target, (size * (rounds + CASE WHEN upto <= rest
+    OR (upto = over AND over - rest < rest - used) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM cut JOIN edge ON cut.source IS NOT DISTINCT FROM edge.source
+"""
+
+
+@query(OP6_SQL)
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.fit_tables(docs, table(spark, sf_dir, "labels")))
