@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -32,6 +33,10 @@ MIN_ROWS_OF_WORD = 4
 MIN_RATIO = 12.0
 THRESHOLD = 0.7
 
+# Lengths of the word beginnings that are features too, and the share of words at which one counts as dense.
+STEM_CHARS = (5, 7)
+DENSE_SHARE = 0.005
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -40,6 +45,17 @@ def words_of(text: str | None) -> set[str]:
     return set(_WORD.findall((text or "").lower()))
 
 
+def features_of(words: set[str]) -> set[str]:
+    """A text's features: its words, the beginnings of its words, and those that many of its words share."""
+    found = set(words)
+    for n in STEM_CHARS:
+        stems = Counter(w[:n] for w in words if len(w) > n)
+        found.update(f"{stem}~" for stem in stems)
+        dense = max(2, DENSE_SHARE * len(words))
+        found.update(f"{stem}~~" for stem, times in stems.items() if times >= dense)
+    return found
+
+
 @dataclass
 class Model:
     bias: float
@@ -47,7 +63,7 @@ class Model:
     threshold: float = THRESHOLD
 
     def score(self, text: str | None) -> float:
-        logit = self.bias + sum(self.weights[w] for w in self.weights.keys() & words_of(text))
+        logit = self.bias + sum(self.weights[w] for w in sorted(self.weights.keys() & features_of(words_of(text))))
         return float(1 / (1 + np.exp(-np.clip(logit, -700, 700))))
 
 
@@ -86,7 +102,7 @@ def fit(
     labels: DataFrame,
     groups: Mapping[str, Sequence[str]] = IDENTITY_GROUPS,
     penalty: float = 10.0,
-    ridge: float = 1e-4,
+    ridge: float = 1e-5,
     sample_rows: int = SAMPLE_ROWS,
     max_features: int = MAX_FEATURES,
     swaps: int = 3,
@@ -122,7 +138,12 @@ def fit(
     if not n:
         return Model(0.0, {})
     base = float(np.log((positives + 0.5) / (n - positives + 0.5)))
-    counts = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
+
+    @F.pandas_udf("array<string>")
+    def features(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda items: sorted(features_of(set(items))))
+
+    counts = rows.select("toxic", F.explode(features("words")).alias("word")).groupBy("word").agg(
         F.count("*").alias("rows"), F.sum("toxic").alias("toxic")
     )
     a, b, rate = F.col("toxic"), F.col("rows") - F.col("toxic"), F.lit(positives / n)
@@ -134,13 +155,13 @@ def fit(
     is_term = F.col("word").isin(sorted(terms))
     strong = counts.where((F.col("rows") >= MIN_ROWS_OF_WORD) & ((ratio >= MIN_RATIO) | is_term))
     order = [F.desc(is_term.cast("int")), F.desc(ratio), F.asc("word")]
-    features = [row["word"] for row in strong.orderBy(*order).limit(max_features).collect()] if 0 < positives < n else []
-    if not features:
+    strongest = [row["word"] for row in strong.orderBy(*order).limit(max_features).collect()] if 0 < positives < n else []
+    if not strongest:
         return Model(base, {})
-    place = {word: i for i, word in enumerate(features)}
+    place = {word: i for i, word in enumerate(strongest)}
 
     def indexed(own: set[str]) -> list[int]:
-        return [place[w] for w in own if w in place]
+        return [place[f] for f in features_of(own) if f in place]
 
     @F.pandas_udf("array<array<int>>")
     def seen(lists: pd.Series) -> pd.Series:
@@ -154,24 +175,24 @@ def fit(
 
     table = rows.select("toxic", seen("words").alias("seen")).toPandas()
     # At most sample_rows * max_features bytes.
-    x = np.zeros((len(table), len(features) + 1), np.float32)
+    x = np.zeros((len(table), len(strongest) + 1), np.float32)
     differences = []
     for i, lists in enumerate(table["seen"]):
         x[i, lists[0]] = 1
         for other in lists[1:]:
-            changed = np.zeros(len(features) + 1)
+            changed = np.zeros(len(strongest) + 1)
             changed[lists[0]] += 1
             changed[other] -= 1
             if changed.any():
                 differences.append(changed)
     x[:, -1] = 1
     # Differences depend on the terms only, so few are distinct: weigh them by their number.
-    d = np.empty((0, len(features) + 1))
+    d = np.empty((0, len(strongest) + 1))
     if differences:
         distinct, times = np.unique(np.array(differences, np.int8), axis=0, return_counts=True)
         d = distinct * np.sqrt(times / times.mean())[:, None]
     w = _newton(x, table["toxic"].to_numpy(np.float32), d, penalty, ridge)
-    return Model(float(w[-1]), dict(zip(features, map(float, w[:-1]), strict=True)))
+    return Model(float(w[-1]), dict(zip(strongest, map(float, w[:-1]), strict=True)))
 
 
 def score(model: Model, text: Column) -> Column:
