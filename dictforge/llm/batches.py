@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-# Characters handled at once by the array code. A single longer text makes a slice of its own.
-SLICE_CHARS = 1_000_000
+# Characters handled at once by the array code, so that its arrays stay in cache. A longer text is a slice of its own.
+SLICE_CHARS = 250_000
 # Rows of one Arrow batch; texts of a batch are in memory together.
 BATCH_ROWS = 1_000
 

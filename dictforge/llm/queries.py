@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dictforge.llm import bpe, mixing, simhash, substring_dedup, toxicity, wavelet
+from dictforge.llm import bpe, mixing, parsing, simhash, substring_dedup, toxicity, wavelet
 from dictforge.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from dictforge.session import scratch_path
 
@@ -96,3 +96,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "text", F.col("_removed").alias("removed"))
+
+
+@query()
+def op8_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.compare_edits(table(spark, sf_dir, "documents"))
