@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dictforge.llm import bpe, mixing, neighbours, parsing, simhash, substring_dedup, toxicity, wavelet
+from dictforge.llm import bpe, chat, mixing, neighbours, parsing, simhash, substring_dedup, toxicity, wavelet
 from dictforge.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from dictforge.session import scratch_path
 
@@ -120,3 +120,11 @@ WHERE rank <= 20
 @query(OP7_SQL)
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query()
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(chat.format_windows(rows, RANKS, PATTERN))
