@@ -139,7 +139,7 @@ def format_windows(
     """
     size = budget * SEGMENT_BUDGETS
     rows = _counted(conversations, ranks_path, pattern).withColumn("segment", F.expr(f"before div {size}"))
-    names = ["conv_id", "segment", "kind", "part", "place", "role", "text", "tokens"]
+    names = ["conv_id", "segment", "kind", "part", "place", "role", "text", "tokens", "before"]
     own = rows.withColumn("kind", F.lit(2))
     # Turns near the end of a segment are history of the next; a longer turn there is no history.
     near = F.expr(f"tokens <= {history} and before + tokens >= (segment + 1) * {size} - {history}")
@@ -161,6 +161,9 @@ def format_windows(
         shown = sum(t[0] == 1 for t in rest)
         if shown == len(rest):
             return None
+        # A long turn that was not carried over ends the history.
+        gap = next((k for k in range(shown, 0, -1) if rest[k - 1][4] + rest[k - 1][3] != rest[k][4]), 0)
+        rest, shown = rest[gap:], shown - gap
         if first_is_system:
             system = rest[:1]
         out = []
@@ -175,7 +178,7 @@ def format_windows(
         for number, (back, start, until) in enumerate(spans):
             lead = [] if first_is_system and number == 0 else system
             parts, loss, at = [], [], 0
-            for k, (_, role, text, _) in enumerate([*lead, *rest[back:until]]):
+            for k, (_, role, text, *_) in enumerate([*lead, *rest[back:until]]):
                 before, body = header(role), escape(text)
                 if role == "assistant" and k >= len(lead) + start - back:
                     loss.append({"start": at + len(before), "end": at + len(before) + len(body)})
@@ -190,7 +193,7 @@ def format_windows(
         turns: list[tuple] = []
         for batch in parts:
             for conv_id, segment, *turn in zip(*(batch.column(c).to_pylist() for c in
-                                                 ("conv_id", "segment", "kind", "role", "text", "tokens"))):
+                                                 ("conv_id", "segment", "kind", "role", "text", "tokens", "before"))):
                 if (conv_id, segment) != key:
                     if turns and (found := windows(key, turns)):
                         yield found
