@@ -32,13 +32,18 @@ def encoding(ranks_path: str, pattern: str) -> tiktoken.Encoding:
 
 
 @functools.cache
-def _matcher(pattern: str) -> regex.Pattern:
-    return regex.compile(pattern)
+def matcher(pattern: str) -> regex.Pattern:
+    """The pattern for this library, whose ``\\s`` also takes the four separators U+001C to U+001F."""
+    return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
 def boundaries(text: str, pattern: str, whole: bool) -> list[int]:
-    """Where pre-tokens of ``text`` begin; without ``whole`` only as far as what follows cannot matter."""
-    starts = [match.start() for match in _matcher(pattern).finditer(text)]
+    """Where pre-tokens of ``text`` begin; without ``whole`` only as far as what follows cannot matter.
+
+    Places after white space are left out: how a run of it is divided depends on what follows it.
+    """
+    starts = [match.start() for match in matcher(pattern).finditer(text)]
+    starts = [s for s in starts if not (s and text[s - 1].isspace())]
     if whole:
         return [*starts, len(text)]
     # The last match may go on past the end of this text, and so may one that ends just before it.

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dictforge.llm import bpe, chat, mixing, neighbours, parsing, simhash, substring_dedup, toxicity, wavelet
+from dictforge.llm import bpe, chat, edit_counts, mixing, neighbours, parsing, simhash, substring_dedup, toxicity, wavelet
 from dictforge.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from dictforge.session import scratch_path
 
@@ -128,3 +128,24 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     return chat.digests(chat.format_windows(rows, RANKS, PATTERN))
+
+
+@query()
+def op4_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document gets a title, a new passage in its middle and a changed end."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    n = F.length(F.coalesce("text", F.lit("")))
+
+    def change(seq: int, place: F.Column, removed: int, inserted: F.Column) -> F.Column:
+        return F.struct(
+            F.lit(seq).alias("seq"), place.cast("long").alias("place"), F.lit(removed).alias("removed"),
+            inserted.alias("inserted"),
+        )
+
+    changes = F.array(
+        change(0, F.floor(n / 2), 40, F.concat_ws(" ", F.lit("see also:"), "source", "lang")),
+        change(1, F.lit(0), 0, F.concat(F.lit("No. "), F.col("doc_id").cast("string"), F.lit("\n"))),
+        change(2, n - 25, 30, F.lit("and so we'll end.")),
+    )
+    edits = docs.select("doc_id", F.inline(changes))
+    return edit_counts.count_edits(docs, edits, RANKS, PATTERN)
