@@ -17,21 +17,24 @@ CELLS = 16**ROUND_DIGITS
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """``(doc_id, source, size, place)`` per row, written to the shared folder, as four passes read it.
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
-    ``place`` depends on doc_id and text only, so reruns agree and repeated rows are treated alike.
-    """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    key = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))
-    return stage(
-        docs.select(
-            "doc_id", F.col("source").cast("string").alias("source"),
-            F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-            F.conv(F.substring(F.md5(key), 1, HASH_DIGITS), 16, 10).cast("long").alias("place"),
-        ),
-        "mixing_sizes",
-    )
+
+def _size() -> Column:
+    return F.regexp_count(_text(), F.lit(WORD)).cast("long")
+
+
+def _place() -> Column:
+    """Where a row stands in its source: it depends on doc_id and text only, so reruns agree and repeated rows go alike."""
+    key = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(_text()))
+    return F.conv(F.substring(F.md5(key), 1, HASH_DIGITS), 16, 10).cast("long")
+
+
+def sizes(docs: DataFrame) -> DataFrame:
+    """``(doc_id, source, size, place)`` per row, written to the shared folder, as every round of histograms reads it."""
+    source = F.col("source").cast("string").alias("source")
+    return stage(docs.select("doc_id", source, _size().alias("size"), _place().alias("place")), "mixing_sizes")
 
 
 def ranked(sources: DataFrame) -> DataFrame:
@@ -129,7 +132,7 @@ def thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), budget: float = 1.5, repeats: float = 2.0) -> DataFrame:
-    """``(doc_id, source, place, size, source_size, target, taken)`` per row of ``docs``.
+    """``(doc_id, source, size, source_size, target, taken, copies)`` per row of ``docs``.
 
     ``taken`` is the words the mix takes of a row: its size once for every whole pass over the source,
     and once more if its place lies below the source's threshold. It never exceeds ``repeats`` (rounded
@@ -137,10 +140,32 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), budget: float = 1.5
     source without words has target 0; repeated rows are taken alike; an empty table gives no rows.
     """
     rows = sizes(docs)
-    goals = thresholds(rows, targets(rows, weights, budget, repeats)).withColumnRenamed("source", "_own")
+    goals = _goals(rows, weights, budget, repeats)
     joined = rows.join(goals, F.col("source").eqNullSafe(F.col("_own")))
-    more = F.when(F.col("place") < F.col("below"), 1).otherwise(0)
     return joined.select(
-        "doc_id", "source", "place", "size", "source_size", "target",
-        (F.col("size") * (F.col("rounds") + more)).alias("taken"), (F.col("rounds") + more).alias("copies"),
+        "doc_id", "source", "size", "source_size", "target",
+        (F.col("size") * _copies()).alias("taken"), _copies().alias("copies"),
     )
+
+
+def mixed(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), budget: float = 1.5, repeats: float = 2.0) -> DataFrame:
+    """The mix itself: the rows of ``docs`` with all their columns, each as often as ``mix`` takes it.
+
+    Rows without words have no size to take and stay once, so that no source loses its empty texts.
+    The goals (one row per source) are joined; the texts are not shuffled for it while they fit a broadcast.
+    """
+    goals = _goals(sizes(docs), weights, budget, repeats)
+    own = F.col("source").cast("string").eqNullSafe(F.col("_own"))
+    placed = docs.withColumn("_place", _place()).withColumn("_size", _size())
+    goals = goals.select("_own", "rounds", "below")
+    taken = placed.join(goals, own).withColumn("_copies", F.when(F.col("_size") == 0, 1).otherwise(_copies("_place")))
+    each = F.array_repeat(F.lit(1), F.col("_copies").cast("int"))
+    return taken.where("_copies > 0").withColumn("_copy", F.explode(each)).select(*docs.columns)
+
+
+def _goals(rows: DataFrame, weights: Sequence[int], budget: float, repeats: float) -> DataFrame:
+    return thresholds(rows, targets(rows, weights, budget, repeats)).withColumnRenamed("source", "_own")
+
+
+def _copies(place: str = "place") -> Column:
+    return F.col("rounds") + F.when(F.col(place) < F.col("below"), 1).otherwise(0)
