@@ -21,8 +21,11 @@ SPACE_TO_COLLAPSE = r"(?U)[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*| [\s\x1c-\x1f]+"
 WHITE_SPACE = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
 WHOLE_WORD_NAN = r"(?<![\p{L}\p{N}_])nan(?![\p{L}\p{N}_])"
 MAYBE_ENTITY = r"&[^\t\n\f <&;]"
+# A tag with its attributes; a ``>`` inside quotes does not end it.
+_ATTRIBUTES = r"""(?:"[^"]*"|'[^']*'|[^'">])*+>"""
+# Comments and hidden bodies that are never closed reach to the end, as a parser reads them.
 MARKUP = (
-    r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>|</?[a-z!][^>]*>"
+    r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b" + _ATTRIBUTES + r".*?(?:</\1\s*>|\z)|</?[a-z!?]" + _ATTRIBUTES
 )
 LAST_SEQUENCE = 999999
 

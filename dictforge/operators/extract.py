@@ -46,15 +46,22 @@ def words_without_meanings(words: DataFrame, meanings: DataFrame) -> DataFrame:
     return word_columns(words.join(used, "WordId", "left_anti"))
 
 
-def title_dimension(titles: DataFrame, order: str | None = None) -> DataFrame:
-    """One title per code; rows missing either key are dropped, the last of duplicates wins."""
+def title_dimension(titles: DataFrame) -> DataFrame:
+    """One title per code: rows missing either key are dropped, the last by ``ord`` wins.
+
+    Without ``ord`` the largest title wins, so the choice never depends on the layout of the rows.
+    """
     named = titles.dropna(subset=["Code", "Title"])
-    last = F.max_by("Title", order) if order else F.max("Title")
+    last = F.max_by("Title", F.struct("ord", "Title")) if "ord" in titles.columns else F.max("Title")
     return named.groupBy("Code").agg(last.alias("Title"))
 
 
 def with_titles(df: DataFrame, titles: DataFrame, refs: str = "refs", row_id: str = "MeaningId") -> DataFrame:
-    """Add the title of each reference of a row; unmatched codes keep a null title."""
+    """Add the title of each reference of a row; unmatched codes keep a null title.
+
+    ``titles`` may repeat codes (see ``title_dimension``). A row without references keeps its empty list.
+    """
+    titles = title_dimension(titles)
 
     def titled(ref: Column, title: Column) -> Column:
         return F.struct(
@@ -79,7 +86,8 @@ def with_titles(df: DataFrame, titles: DataFrame, refs: str = "refs", row_id: st
             lambda x: x["ref"],
         ).alias(refs)
     )
-    return df.drop(refs).join(gathered, row_id, "left")
+    kept = df.withColumnRenamed(refs, "_untitled").join(gathered, row_id, "left")
+    return kept.withColumn(refs, F.coalesce(refs, "_untitled")).drop("_untitled")
 
 
 def clean_meanings(
@@ -202,7 +210,7 @@ def reference_audit(rows: DataFrame, titles: DataFrame, refs: str = "refs") -> D
     """Every code met with its title, or ``NOT FOUND``."""
     codes = rows.select(F.explode(refs).alias("ref")).select(F.col("ref.InternalCode").alias("Code")).distinct()
     return (
-        lookup_join(codes, titles, "Code", "left")
+        lookup_join(codes, title_dimension(titles), "Code", "left")
         .select("Code", F.coalesce("Title", F.lit("NOT FOUND")).alias("Mapping"))
         .orderBy("Code")
     )

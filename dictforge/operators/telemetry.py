@@ -45,22 +45,28 @@ def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def iteration_rows(parsed: DataFrame, keys: tuple[str, ...] = ("run_id", "attempt")) -> DataFrame:
-    """One row per iteration from its train, validation and metric lines; combines before the shuffle."""
+    """One row per iteration from its train, validation and metric lines; combines before the shuffle.
+
+    ``Timestamp`` is the latest ``ts`` of the lines of an iteration, null where lines carry none.
+    """
+    stamp = F.max("ts") if "ts" in parsed.columns else F.lit(None)
     return parsed.where(F.col("Iter").isNotNull()).groupBy(*keys, "Iter").agg(
         F.max(F.when(F.col("mode") == "Train", F.col("loss"))).alias("TrainLoss"),
         F.max(F.when(F.col("mode") == "Val", F.col("loss"))).alias("ValLoss"),
         *[F.max(name).alias(name) for name, _ in _METRICS],
+        stamp.cast("timestamp").alias("Timestamp"),
     )
 
 
 def loss_series(stats: DataFrame, engine: str) -> DataFrame:
-    """Either statistics layout as ``(run_id, engine, step, train_loss, val_loss)``."""
+    """Either statistics layout as ``(run_id, attempt, engine, step, train_loss, val_loss)``; no attempt is 0."""
     names = stats.columns
     own_layout = "TrainLoss" in names
     step, train, val = ("Iter", "TrainLoss", "ValLoss") if own_layout else ("step", "loss", "eval_loss")
     missing = F.lit(None).cast("double")
     return stats.select(
         F.col("run_id") if "run_id" in names else F.lit("").alias("run_id"),
+        (F.col("attempt").cast("long") if "attempt" in names else F.lit(0).cast("long")).alias("attempt"),
         F.lit(engine).alias("engine"),
         F.col(step).cast("long").alias("step"),
         F.col(train).alias("train_loss"),
@@ -72,8 +78,12 @@ def with_validation(series: DataFrame) -> DataFrame:
     return series.dropna(subset=["val_loss"])
 
 
-def loss_summary(series: DataFrame, keys: tuple[str, ...] = ("engine", "run_id"), order: str = "step") -> DataFrame:
-    """Rows, first, last and least train loss, and the last validation loss, of each series."""
+def loss_summary(series: DataFrame, keys: tuple[str, ...] = ("engine", "run_id")) -> DataFrame:
+    """Rows, first, last and least train loss, and the last validation loss, of each series.
+
+    Attempts of a run follow each other: the order is that of ``(attempt, step)``.
+    """
+    order = F.struct("attempt", "step")
     has_val = F.col("val_loss").isNotNull() & ~F.isnan("val_loss")
     valid_train = F.when(~F.isnan("train_loss"), F.col("train_loss"))
     return series.groupBy(*keys).agg(
@@ -81,7 +91,7 @@ def loss_summary(series: DataFrame, keys: tuple[str, ...] = ("engine", "run_id")
         F.min_by("train_loss", order).alias("first_train_loss"),
         F.max_by("train_loss", order).alias("last_train_loss"),
         F.min(valid_train).alias("min_train_loss"),
-        F.max_by("val_loss", F.when(has_val, F.col(order))).alias("last_val_loss"),
+        F.max_by("val_loss", F.when(has_val, order)).alias("last_val_loss"),
     )
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from dictforge import schemas
 from dictforge.config import Config
 from dictforge.functions import text as T
-from dictforge.operators import dataset, telemetry
+from dictforge.operators import audit, dataset, telemetry
+from dictforge.operators.ordered import with_global_index
 from dictforge.plans.catalog import query, sql_key, sql_normalize, table
 from dictforge.session import scratch_path
 from dictforge.sources import readers, writers
@@ -35,11 +36,25 @@ def _blacklist(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "labels").where("toxic = 1").select(F.expr(f"doc_id div {K} + 1").alias("iter"))
 
 
-@query(f"WITH {_NUMBERED} SELECT doc_id, text, CAST(gidx // 300 + 1 AS BIGINT) AS chunk_id FROM numbered")
-def chunk_records(spark: SparkSession, sf: str) -> DataFrame:
+def _chunks_reread(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "chunks")
     writers.write_chunks(_numbered_docs(spark, sf), path, ["doc_id", "text"])
-    return readers.read_records(spark, path, "doc_id long, text string, chunk_id long", "FAILFAST")
+    return readers.read_records(spark, path, "doc_id long, text string, gidx long, chunk_id long", "FAILFAST")
+
+
+@query(f"WITH {_NUMBERED} SELECT doc_id, text, gidx, CAST(gidx // 300 + 1 AS BIGINT) AS chunk_id FROM numbered")
+def chunk_records(spark: SparkSession, sf: str) -> DataFrame:
+    return _chunks_reread(spark, sf)
+
+
+@query(f"""WITH {_NUMBERED}, bad AS (SELECT DISTINCT CAST(doc_id // {K} + 1 AS BIGINT) AS iter FROM labels WHERE toxic = 1)
+SELECT doc_id, gidx, text FROM numbered WHERE gidx >= 3 * {K} AND gidx // {K} + 1 NOT IN (SELECT iter FROM bad)""")
+def blacklist_after_reread(spark: SparkSession, sf: str) -> DataFrame:
+    """The blacklist of one of two runs hits the right records of chunk files, by their stored position."""
+    labels = table(spark, sf, "labels")
+    listed = labels.select(F.concat(F.lit("run"), "toxic").alias("run_id"), F.expr(f"doc_id div {K} + 1").alias("iter"))
+    kept = dataset.training_set(_chunks_reread(spark, sf), listed, CFG, skip_iterations=3, run_id="run1")
+    return kept.select("doc_id", "gidx", "text")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -52,7 +67,8 @@ def chunk_numbers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_NUMBERED} SELECT doc_id, gidx, text FROM numbered WHERE gidx < 100")
 def valid_split(spark: SparkSession, sf: str) -> DataFrame:
-    return dataset.validation_split(_numbered_docs(spark, sf), CFG).select("doc_id", "gidx", "text")
+    docs = table(spark, sf, "documents").select("lang", "source", "doc_id", "text")
+    return dataset.validation_split(docs, ["lang", "source", "doc_id"], CFG).select("doc_id", "gidx", "text")
 
 
 @query(f"""WITH {_NUMBERED}, {_BAD}
@@ -73,7 +89,8 @@ def iteration_record(spark: SparkSession, sf: str) -> DataFrame:
 SELECT records, kept, records - kept AS skipped, CAST(kept // {K} * 5 AS BIGINT) AS iterations,
   CAST(floor(kept // {K} * 5 * 0.03) AS BIGINT) AS warmup_steps FROM n, kept""")
 def training_counts(spark: SparkSession, sf: str) -> DataFrame:
-    numbered = _numbered_docs(spark, sf)
+    order = ["lang", "source", "doc_id"]
+    numbered = dataset.indexed(table(spark, sf, "documents").select(*order), order, CFG)
     kept = dataset.training_set(numbered, _blacklist(spark, sf), CFG, skip_iterations=3)
     return dataset.training_counts(numbered, kept, CFG)
 
@@ -84,7 +101,7 @@ def training_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 _LOSS_TEXT = """CASE WHEN event_type = 'error' THEN 'nan' ELSE concat(CAST(floor(value) AS BIGINT), '.',
     lpad(CAST(CAST(floor(value * 100) AS BIGINT) % 100 AS VARCHAR(10)), 2, '0')) END"""
-LOG_LINES = f"""SELECT event_id AS line_no, concat('run', user_id % 9) AS run_id, event_id % 2 AS attempt, event_type,
+LOG_LINES = f"""SELECT event_id AS line_no, concat('run', user_id % 9) AS run_id, event_id % 2 AS attempt, event_type, ts,
   CASE WHEN event_type = 'view' THEN concat('Iter ', CAST(floor(event_id / 40) AS BIGINT), ': Val loss ', {_LOSS_TEXT}, ', Val took 5.1s')
     WHEN event_type = 'signup' THEN concat('Saved adapter weights to out/adapters.safetensors and out/', lpad(CAST(event_id AS VARCHAR(20)), 7, '0'), '_adapters.safetensors.')
     WHEN event_type = 'click' AND event_id % 5 = 0 THEN 'Loading pretrained model'
@@ -93,13 +110,12 @@ LOG_LINES = f"""SELECT event_id AS line_no, concat('run', user_id % 9) AS run_id
   FROM {{events}}"""
 _LINES = "lines AS (" + LOG_LINES.replace("{events}", "events") + ")"
 _PARSED = rf"""{_LINES},
-found AS (SELECT *, regexp_extract(value, '(?i)Iter\s+(\d+):\s+(Train|Val)\s+loss\s+([nan\d\.]+)', ['it', 'mode', 'loss']) AS l,
-  regexp_extract(value, 'Learning Rate\s+([\d\.e-]+),\s+It/sec\s+([\d\.]+),\s+Tokens/sec\s+([\d\.]+),\s+Trained Tokens\s+(\d+),\s+Peak mem\s+([\d\.]+)',
-    ['lr', 'its', 'tps', 'tok', 'mem']) AS m FROM lines),
+found AS (SELECT *, regexp_extract(value, '{telemetry.LOSS_LINE}', ['it', 'mode', 'loss']) AS l,
+  regexp_extract(value, '{telemetry.METRIC_LINE}', ['lr', 'its', 'tps', 'tok', 'mem']) AS m FROM lines),
 parsed AS (SELECT line_no, run_id, attempt, TRY_CAST(l.it AS INT) AS iter, lower(nullif(l.mode, '')) AS mode,
   TRY_CAST(nullif(l.loss, '') AS DOUBLE) AS loss, TRY_CAST(m.lr AS DOUBLE) AS lr, TRY_CAST(m.its AS DOUBLE) AS its, TRY_CAST(m.tps AS DOUBLE) AS tps,
-  TRY_CAST(m.tok AS BIGINT) AS tok, TRY_CAST(m.mem AS DOUBLE) AS mem,
-  nullif(regexp_extract(value, 'Saved adapter weights to (.*) and (.*)\.', 2), '') AS saved_to FROM found)"""
+  TRY_CAST(m.tok AS BIGINT) AS tok, TRY_CAST(m.mem AS DOUBLE) AS mem, ts,
+  nullif(regexp_extract(value, '{telemetry.SAVED_LINE}', 2), '') AS saved_to FROM found)"""
 # NaN is kept out of compared columns.
 _NUM = "CASE WHEN isnan({c}) THEN -1 ELSE {c} END"
 
@@ -123,7 +139,7 @@ def parse_train_log(spark: SparkSession, sf: str) -> DataFrame:
 
 _ROWS = f"""{_PARSED},
 rows AS (SELECT run_id, attempt, iter, max(CASE WHEN mode = 'train' THEN loss END) AS train_loss, max(CASE WHEN mode = 'val' THEN loss END) AS val_loss,
-  max(lr) AS lr, max(its) AS its, max(tps) AS tps, max(tok) AS tok, max(mem) AS mem FROM parsed WHERE iter IS NOT NULL GROUP BY run_id, attempt, iter)"""
+  max(lr) AS lr, max(its) AS its, max(tps) AS tps, max(tok) AS tok, max(mem) AS mem, epoch_us(max(ts)) AS stamp FROM parsed WHERE iter IS NOT NULL GROUP BY run_id, attempt, iter)"""
 
 
 def stats_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,42 +147,47 @@ def stats_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {_ROWS} SELECT run_id, CAST(attempt AS BIGINT) AS attempt, iter AS "Iter", {_NUM.format(c='train_loss')} AS "TrainLoss",
-  {_NUM.format(c='val_loss')} AS "ValLoss", lr AS "LearningRate", tok AS "TrainedTokens" FROM rows""")
+  {_NUM.format(c='val_loss')} AS "ValLoss", lr AS "LearningRate", tok AS "TrainedTokens", stamp FROM rows""")
 def loss_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return stats_rows(spark, sf).select(
-        "run_id", "attempt", "Iter", _number("TrainLoss").alias("TrainLoss"), _number("ValLoss").alias("ValLoss"), "LearningRate", "TrainedTokens"
+    return _compared_rows(stats_rows(spark, sf))
+
+
+def _compared_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "run_id", "attempt", "Iter", _number("TrainLoss").alias("TrainLoss"), _number("ValLoss").alias("ValLoss"),
+        "LearningRate", "TrainedTokens", F.unix_micros("Timestamp").alias("stamp"),
     )
 
 
 _SERIES = f"""{_ROWS},
-series AS (SELECT 'mlx' AS engine, run_id, CAST(iter AS BIGINT) AS step, train_loss, val_loss FROM rows WHERE attempt = 0
-  UNION ALL SELECT 'hf', concat('run', user_id % 9), event_id, value, NULL FROM events WHERE event_type = 'purchase')"""
+series AS (SELECT 'mlx' AS engine, run_id, CAST(attempt AS BIGINT) AS attempt, CAST(iter AS BIGINT) AS step, train_loss, val_loss FROM rows
+  UNION ALL SELECT 'hf', concat('run', user_id % 9), 0, event_id, value, NULL FROM events WHERE event_type = 'purchase')"""
 
 
 def _both_series(spark: SparkSession, sf: str) -> DataFrame:
-    own = telemetry.loss_series(stats_rows(spark, sf).where("attempt = 0"), "mlx")
+    own = telemetry.loss_series(stats_rows(spark, sf), "mlx")
     steps = table(spark, sf, "events").where("event_type = 'purchase'").select(
         F.concat(F.lit("run"), F.col("user_id") % 9).alias("run_id"), F.col("event_id").alias("step"), F.col("value").alias("loss")
     )
     return own.unionByName(telemetry.loss_series(steps, "hf"))
 
 
-@query(f"WITH {_SERIES} SELECT engine, run_id, step, {_NUM.format(c='train_loss')} AS train_loss, {_NUM.format(c='val_loss')} AS val_loss FROM series")
+@query(f"WITH {_SERIES} SELECT engine, run_id, attempt, step, {_NUM.format(c='train_loss')} AS train_loss, {_NUM.format(c='val_loss')} AS val_loss FROM series")
 def loss_series(spark: SparkSession, sf: str) -> DataFrame:
     return _both_series(spark, sf).select(
-        "engine", "run_id", "step", _number("train_loss").alias("train_loss"), _number("val_loss").alias("val_loss")
+        "engine", "run_id", "attempt", "step", _number("train_loss").alias("train_loss"), _number("val_loss").alias("val_loss")
     )
 
 
-@query(f"WITH {_SERIES} SELECT engine, run_id, step, val_loss FROM series WHERE val_loss IS NOT NULL AND NOT isnan(val_loss)")
+@query(f"WITH {_SERIES} SELECT engine, run_id, attempt, step, val_loss FROM series WHERE val_loss IS NOT NULL AND NOT isnan(val_loss)")
 def validation_points(spark: SparkSession, sf: str) -> DataFrame:
-    return telemetry.with_validation(_both_series(spark, sf)).select("engine", "run_id", "step", "val_loss")
+    return telemetry.with_validation(_both_series(spark, sf)).select("engine", "run_id", "attempt", "step", "val_loss")
 
 
 @query(f"""WITH {_SERIES}, s AS (SELECT *, {_NUM.format(c='train_loss')} AS t FROM series)
-SELECT engine, run_id, count(*) AS rows, arg_min_null(t, step) AS first_train_loss, arg_max_null(t, step) AS last_train_loss,
+SELECT engine, run_id, count(*) AS rows, arg_min_null(t, [attempt, step]) AS first_train_loss, arg_max_null(t, [attempt, step]) AS last_train_loss,
   min(CASE WHEN NOT isnan(train_loss) THEN train_loss END) AS min_train_loss,
-  arg_max(val_loss, step) FILTER (val_loss IS NOT NULL AND NOT isnan(val_loss)) AS last_val_loss FROM s GROUP BY engine, run_id""")
+  arg_max(val_loss, [attempt, step]) FILTER (val_loss IS NOT NULL AND NOT isnan(val_loss)) AS last_val_loss FROM s GROUP BY engine, run_id""")
 def loss_summary(spark: SparkSession, sf: str) -> DataFrame:
     return telemetry.loss_summary(_both_series(spark, sf)).select(
         "engine", "run_id", "rows", _number("first_train_loss").alias("first_train_loss"),
@@ -258,20 +279,57 @@ def category_dimension(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {_ROWS} SELECT run_id, iter AS "Iter", {_NUM.format(c='train_loss')} AS "TrainLoss", {_NUM.format(c='val_loss')} AS "ValLoss",
-  tok AS "TrainedTokens" FROM rows""")
+  tok AS "TrainedTokens", stamp // 1000 AS stamp FROM rows""")
 def stats_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Statistics of two attempts appended to one CSV table and read back with their ``nan`` values."""
     path = scratch_path(spark, "stats")
     names = [part.split()[0] for part in schemas.TRAINING_STATS.split(", ")]
-    rows = stats_rows(spark, sf).withColumn("Timestamp", F.lit(None).cast("timestamp"))
+    rows = stats_rows(spark, sf)
     for attempt in (0, 1):
         writers.append_stats(rows.where(F.col("attempt") == attempt).select(*names, "run_id"), path)
     return readers.read_stats(spark, path).select(
-        "run_id", "Iter", _number("TrainLoss").alias("TrainLoss"), _number("ValLoss").alias("ValLoss"), "TrainedTokens"
+        "run_id", "Iter", _number("TrainLoss").alias("TrainLoss"), _number("ValLoss").alias("ValLoss"), "TrainedTokens",
+        F.unix_millis("Timestamp").alias("stamp"),
     )
 
 
-@query("SELECT DISTINCT concat('run', user_id % 9) AS run_id, CAST(event_id // 40 AS BIGINT) AS iter FROM events WHERE event_type IN ('error', 'view')")
+@query("""SELECT concat('run', user_id % 9) AS run_id, CAST(event_id AS INT) AS step, value AS loss, event_id % 7 / 8.0 AS learning_rate,
+  CASE WHEN event_id % 3 = 0 THEN event_id % 5 / 4.0 END AS eval_loss FROM events""")
+def step_stats_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The second layout: files with other columns and column orders, read by the names in their headers."""
+    path = scratch_path(spark, "step_stats")
+    steps = table(spark, sf, "events").select(
+        F.concat(F.lit("run"), F.col("user_id") % 9).alias("run_id"), F.col("event_id").cast("int").alias("step"),
+        F.col("value").alias("loss"), (F.col("event_id") % 7 / 8.0).alias("learning_rate"),
+        (F.col("event_id") % 5 / 4.0).alias("eval_loss"), F.lit(None).cast("timestamp").alias("timestamp"),
+    )
+    layouts = (["step", "loss", "learning_rate", "timestamp"], ["eval_loss", "learning_rate", "step", "loss"])
+    writers.append_stats(steps.where("step % 3 <> 0").select(*layouts[0], "run_id"), path)
+    writers.append_stats(steps.where("step % 3 = 0").select(*layouts[1], "run_id"), path)
+    return readers.read_stats(spark, path, schemas.STEP_STATS).select("run_id", "step", "loss", "learning_rate", "eval_loss")
+
+
+@query(f"WITH {_LINES} SELECT CAST(row_number() OVER (ORDER BY line_no) - 1 AS BIGINT) AS place, value FROM lines")
+def log_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A log in several files, read back in its order by file and line."""
+    path = scratch_path(spark, "log")
+    lines = log_lines(spark, sf).select("line_no", "value")
+    lines.repartitionByRange(5, "line_no").sortWithinPartitions("line_no").select("value").write.text(path)
+    return with_global_index(readers.read_log(spark, path), ["file_name", "line"], "place").select("place", "value")
+
+
+@query("SELECT event_type AS \"Type\", CAST(user_id % 3 AS VARCHAR) AS \"TypeGender\", count(*) AS meanings FROM events GROUP BY ALL")
+def audit_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """An audit written as CSV with its header and read back."""
+    path = scratch_path(spark, "audit")
+    found = table(spark, sf, "events").select(
+        F.col("event_type").alias("Type"), (F.col("user_id") % 3).cast("string").alias("TypeGender")
+    )
+    writers.write_audit(audit.type_inventory(found), path)
+    return readers.read_table(spark, path, "Type string, TypeGender string, meanings long", "csv", header="true")
+
+
+@query("SELECT DISTINCT concat('run', user_id % 9) AS run_id, CAST(event_id // 40 AS BIGINT) AS iter FROM events")
 def blacklist_append(spark: SparkSession, sf: str) -> DataFrame:
     """Two overlapping appends leave each iteration listed once."""
     path = scratch_path(spark, "blacklist")
@@ -279,7 +337,7 @@ def blacklist_append(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("run"), F.col("user_id") % 9).alias("run_id"), F.expr("event_id div 40").alias("iter"), "event_type"
     )
     writers.append_blacklist(listed.where("event_type = 'error'"), path)
-    writers.append_blacklist(listed.where("event_type IN ('error', 'view')"), path)
+    writers.append_blacklist(listed, path)
     return readers.read_or_empty(spark, path, schemas.BLACKLIST)
 
 
@@ -361,13 +419,48 @@ def stream_nan_alert(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(jobs.ALERTS).parquet(out).select("run_id", "ord", "nan_run", "rollbacks")
 
 
-@query(f"SELECT DISTINCT {sql_key('lang', 'text')} AS concept_key, substr(text, 1, 400) AS head, lang FROM documents")
+@query(f"SELECT DISTINCT {sql_key('lang', 'text')} AS concept_key, lang FROM documents")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """One record per concept; records of one concept agree in the compared columns."""
+    """One record per concept; which of its records stays is open, so keys and prompts are compared."""
     folder, out, check = (scratch_path(spark, name) for name in ("records", "unique", "progress"))
     docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("usr_prompt"), F.col("text").alias("target"))
     writers.write_records(docs, folder)
     records = jobs.record_stream(spark, folder, "doc_id long, usr_prompt string, target string")
     jobs.run_available(jobs.first_seen(jobs.concept_stream(records), "doc_id"), out, check)
     unique = spark.read.schema("doc_id long, usr_prompt string, target string, concept_key string").parquet(out)
-    return unique.select("concept_key", F.substring("target", 1, 400).alias("head"), F.col("usr_prompt").alias("lang"))
+    return unique.select("concept_key", F.col("usr_prompt").alias("lang"))
+
+
+@query(f"""WITH {_ROWS} SELECT run_id, CAST(attempt AS BIGINT) AS attempt, iter AS "Iter", {_NUM.format(c='train_loss')} AS "TrainLoss",
+  {_NUM.format(c='val_loss')} AS "ValLoss", lr AS "LearningRate", tok AS "TrainedTokens", stamp FROM rows""")
+def stream_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that arrive in two runs end as one row per run, attempt and iteration in the stats table."""
+    folder, out, check = (scratch_path(spark, name) for name in ("log", "stats", "progress"))
+    lines = log_lines(spark, sf).select("run_id", F.col("attempt").cast("long").alias("attempt"), "value", F.col("ts").cast("timestamp").alias("ts"), "line_no")
+    for part in (0, 1):
+        lines.where(F.col("line_no") % 3 % 2 == part).drop("line_no").write.mode("append").parquet(folder)
+        arriving = spark.readStream.schema("run_id string, attempt long, value string, ts timestamp").parquet(folder)
+        jobs.run_stats(arriving, out, check)
+    return _compared_rows(jobs.stats_table(spark, out))
+
+
+@query(f"""WITH {_NAN_RUNS}, hits AS (SELECT CAST(user_id AS VARCHAR) AS run_id, event_id + 1 AS iter, event_id * {K} AS record_id FROM runs WHERE nan_run % 3 = 0)
+SELECT run_id, iter, record_id, md5(coalesce(text, 'Unknown')) AS text, 'rollback-skip' AS action, 1 AS listed
+FROM hits LEFT JOIN documents ON doc_id = record_id""")
+def stream_alert_actions(spark: SparkSession, sf: str) -> DataFrame:
+    """Diagnostics and blacklist of a stream of alerts; its first batch runs twice and adds nothing."""
+    losses_at, out, check, again = (scratch_path(spark, name) for name in ("losses", "alerts", "progress", "replayed"))
+    losses = _losses(spark, sf).select(
+        F.col("user_id").cast("string").alias("run_id"), F.col("event_id").alias("ord"), (F.col("event_id") + 1).alias("iter"), "loss"
+    )
+    losses.write.parquet(losses_at)
+    records = table(spark, sf, "documents").select(F.col("doc_id").alias("gidx"), "text")
+    arriving = spark.readStream.schema("run_id string, ord long, iter long, loss double").parquet(losses_at)
+    jobs.run_alerts(jobs.nan_alerts(arriving, CFG, "rollback-skip"), records, CFG, out, check, "rollback-skip")
+    spark.read.parquet(f"{out}/diagnostics").where("batch = 0").select("run_id", "iter").write.parquet(again)
+    jobs.write_alerts(spark.read.parquet(again), 0, records, CFG, out, "rollback-skip")
+    listed = readers.read_or_empty(spark, f"{out}/blacklist", schemas.BLACKLIST).groupBy("run_id", "iter").agg(F.count("*").cast("int").alias("listed"))
+    found = readers.read_or_empty(spark, f"{out}/diagnostics", schemas.DIAGNOSTICS)
+    return found.join(listed, ["run_id", "iter"], "left").select(
+        "run_id", "iter", "record_id", F.md5("text").alias("text"), "action", "listed"
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,9 +45,12 @@ def read_dictionary(spark: SparkSession, folder: str, fmt: str = "parquet") -> d
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
-    """List of ``{Code, Title}`` with its position, rows missing either key dropped."""
-    rows = spark.read.schema(schemas.REFERENCE_TITLES).option("multiLine", True).json(path)
-    return rows.withColumn("ord", F.monotonically_increasing_id()).dropna(subset=["Code", "Title"])
+    """List of ``{Code, Title}`` with its position ``ord`` in the list, rows missing either key dropped."""
+    lists = spark.read.text(path, wholetext=True).select(
+        F.from_json("value", f"array<struct<{schemas.REFERENCE_TITLES}>>").alias("titles")
+    )
+    rows = lists.select(F.posexplode("titles").alias("ord", "title")).select("title.*", "ord")
+    return rows.dropna(subset=["Code", "Title"])
 
 
 def read_type_labels(spark: SparkSession, path: str) -> DataFrame:
@@ -103,28 +106,59 @@ def content_rows(records: DataFrame) -> DataFrame:
     )
 
 
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
 def read_stats(spark: SparkSession, path: str, schema: str = schemas.TRAINING_STATS) -> DataFrame:
-    """Statistics CSV of one layout; the run comes from the folder name, ``nan`` is a number."""
-    return (
-        spark.read.schema(f"{schema}, run_id string")
-        .option("header", True)
-        .option("nanValue", "nan")
-        .csv(path)
+    """Statistics CSV; the run comes from the folder name (null without), ``nan`` is a number.
+
+    Every file names its own columns in its header, which may be any of ``schema`` in any order: values
+    are taken by name, columns that a file lacks are null. A header is a line of such names only; there
+    is one per file, so it is grouped by file and joined back to the file's lines.
+    """
+    fields = [part.split() for part in schema.split(", ")]
+    names = {name for layout in (schema, schemas.TRAINING_STATS, schemas.STEP_STATS) for name in _names(layout)}
+    known = F.array(*[F.lit(name) for name in sorted(names)])
+    lines = spark.read.text(path)
+    run = F.col("run_id").cast("string") if "run_id" in lines.columns else F.lit(None).cast("string")
+    cells = lines.select(
+        F.split("value", ",").alias("cells"), F.col("_metadata.file_path").alias("file_path"), run.alias("run_id")
+    )
+    named = cells.withColumn("is_header", F.size(F.array_except("cells", known)) == 0)
+    headers = named.where("is_header").groupBy("file_path").agg(F.max("cells").alias("names"))
+    rows = named.where("not is_header").drop("is_header").join(headers, "file_path")
+    values = rows.withColumn("values", F.map_from_arrays("names", F.slice("cells", F.lit(1), F.size("names"))))
+    return values.select(
+        *[F.nullif(F.try_element_at("values", F.lit(name)), F.lit("")).try_cast(kind).alias(name) for name, kind in fields],
+        "run_id",
     )
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
+    """Log lines with their place: ``line`` ascends within a file, as its splits are read in order."""
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("line")
+    )
+
+
+# What a damaged table file is reported as.
+_DAMAGED = ("CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE", "CANNOT_READ_FILE", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """An append table; a missing one is empty."""
+    """An append table; a missing or damaged one is empty.
+
+    The footers are looked at once, which costs one small task per file of a table of this kind.
+    """
     try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+        found = spark.read.schema(schema).parquet(path)
+        found.select(F.lit(1)).agg(F.count("*")).first()
+        return found
+    except PySparkException as error:
+        if error.getCondition() == "PATH_NOT_FOUND" or any(d in str(error) for d in _DAMAGED):
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def latest_diagnostic(diagnostics: DataFrame) -> DataFrame:

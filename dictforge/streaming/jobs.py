@@ -12,9 +12,14 @@ from pyspark.sql.streaming.state import GroupState
 
 from dictforge.config import Config
 from dictforge.functions import text as T
-from dictforge.operators.skew import SALTS
-from dictforge.operators.telemetry import parse_lines
-from dictforge.sources.writers import append_blacklist, append_rows, diagnostic_rows
+from dictforge.operators.skew import SALTS, lookup_join
+from dictforge.operators.telemetry import iteration_rows, parse_lines
+from dictforge.schemas import TRAINING_STATS
+from dictforge.sources.writers import append_blacklist, diagnostic_rows
+
+# The words of a diagnostic.
+ALERT_NOTE = "NaN limit hit. Action: "
+UNKNOWN_RECORD = "Unknown"
 
 FILES_PER_TRIGGER = 64
 
@@ -118,23 +123,71 @@ def nan_alerts(losses: DataFrame, cfg: Config, action: str = "rollback") -> Data
     )
 
 
-def run_alerts(
-    alerts: DataFrame, records: DataFrame, cfg: Config, folder: str, checkpoint: str, action: str
+def write_alerts(
+    batch: DataFrame, batch_id: int, records: DataFrame, cfg: Config, folder: str, action: str
 ) -> None:
-    """Append each batch of alerts to the diagnostics and, for rollback-skip, to the blacklist.
+    """Diagnostics (and for a skip the blacklist) of one batch of alerts.
 
-    ``records`` (gidx, text) names the record an iteration begins with.
+    Each batch writes its own folder ``batch=<id>`` anew, so a batch that runs again after a failure
+    replaces its rows. The alerts, a few rows per run and batch, are measured and then broadcast to the
+    records, which are neither shuffled nor read beyond their positions and the texts that match.
     """
-
-    def append(batch: DataFrame, _: int) -> None:
+    batch = batch.persist()
+    try:
         wanted = batch.withColumn("gidx", (F.col("iter") - 1) * cfg.records_per_iteration)
-        hits = wanted.join(records.select("gidx", "text"), "gidx", "left").select(
+        places = wanted.select("gidx").distinct()
+        found = lookup_join(records.select("gidx", "text"), places, "gidx", "inner")
+        hits = wanted.join(found, "gidx", "left").select(
             "run_id", "iter", F.current_timestamp().alias("ts"), F.col("gidx").alias("record_id"),
-            F.coalesce("text", F.lit("Unknown")).alias("text"),
+            F.coalesce("text", F.lit(UNKNOWN_RECORD)).alias("text"),
         )
-        append_rows(diagnostic_rows(hits, f"NaN limit hit. Action: {action}", action), f"{folder}/diagnostics")
+        rows = diagnostic_rows(hits, f"{ALERT_NOTE}{action}", action)
+        rows.write.mode("overwrite").parquet(f"{folder}/diagnostics/batch={batch_id}")
         if "skip" in action:
             append_blacklist(batch.select("run_id", "iter"), f"{folder}/blacklist")
+    finally:
+        batch.unpersist()
+
+
+def run_stats(lines: DataFrame, folder: str, checkpoint: str) -> None:
+    """Append the statistics of each batch of log lines (run_id, attempt, value, ts) to the stats table.
+
+    A batch gives one partial row per run, attempt and iteration and writes its own folder, so a repeated
+    batch replaces its rows; ``stats_table`` combines the parts of an iteration that several batches saw.
+    """
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        rows = iteration_rows(parse_lines(batch))
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    query = (
+        lines.writeStream.outputMode("append")
+        .foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def stats_table(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per run, attempt and iteration of what ``run_stats`` has written."""
+    schema = f"run_id string, attempt long, {TRAINING_STATS}"
+    parts = spark.read.schema(schema).parquet(folder)
+    keys = ["run_id", "attempt", "Iter"]
+    return parts.groupBy(*keys).agg(*[F.max(c).alias(c) for c in parts.columns if c not in (*keys, "batch")])
+
+
+def run_alerts(
+    alerts: DataFrame, records: DataFrame, cfg: Config, folder: str, checkpoint: str, action: str
+) -> None:
+    """Append each batch of alerts to the diagnostics and, for rollback-skip, to the blacklist.
+
+    ``records`` (gidx, text) names the record an iteration begins with.
+    """
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        write_alerts(batch, batch_id, records, cfg, folder, action)
 
     query = (
         alerts.writeStream.outputMode("append")
