@@ -67,6 +67,8 @@ class Config:
     keep_checkpoints: int = 5
     # Items a nested row may hold before it continues in another row.
     items_per_row: int = 10_000
+    # Characters (as JSON) of the items of one nested row, in the mean of a word that needs several rows.
+    chars_per_row: int = 64_000_000
 
     @property
     def records_per_iteration(self) -> int:

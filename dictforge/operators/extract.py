@@ -87,7 +87,8 @@ def with_titles(df: DataFrame, titles: DataFrame, refs: str = "refs", row_id: st
         ).alias(refs)
     )
     kept = df.withColumnRenamed(refs, "_untitled").join(gathered, row_id, "left")
-    return kept.withColumn(refs, F.coalesce(refs, "_untitled")).drop("_untitled")
+    none = F.array().cast(gathered.schema[refs].dataType)
+    return kept.withColumn(refs, F.when(F.col("_untitled").isNotNull(), F.coalesce(refs, none))).drop("_untitled")
 
 
 def clean_meanings(
@@ -141,7 +142,8 @@ def extension_lists(extensions: DataFrame, cfg: Config) -> DataFrame:
     """Extensions per meaning, ordered; very large lists continue over several rows."""
     value = F.struct("ExtensionType", "WordList", "Details")
     return block_lists(
-        extensions, "MeaningId", ["ExtensionType", "WordList", "Details"], value, cfg.items_per_row
+        extensions, "MeaningId", ["ExtensionType", "WordList", "Details"], value, cfg.items_per_row,
+        max_chars=cfg.chars_per_row,
     )
 
 
@@ -149,17 +151,13 @@ def link_lists(links: DataFrame, cfg: Config) -> DataFrame:
     """Cleaned links per meaning, lists of blanks dropped."""
     cleaned = links.select("MeaningId", T.clean_word_list(F.col("WordList")).alias("WordList"))
     cleaned = cleaned.where(F.col("WordList").isNotNull())
-    return block_lists(cleaned, "MeaningId", ["WordList"], F.struct("WordList"), cfg.items_per_row)
+    return block_lists(cleaned, "MeaningId", ["WordList"], F.struct("WordList"), cfg.items_per_row, max_chars=cfg.chars_per_row)
 
 
 def first_and_more(lists: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """The row of each meaning that goes into its own item, and the rows that continue it."""
     lists = lists.withColumnRenamed("items", name)
-    large = lists.where(F.col("block").isNotNull())
-    leading = large.groupBy("MeaningId").agg(F.min("block").alias("block"))
-    first = lists.where(F.col("block").isNull()).unionByName(large.join(leading, ["MeaningId", "block"]))
-    more = large.join(leading, ["MeaningId", "block"], "left_anti")
-    return first.drop("block"), more
+    return lists.where("block = 0").drop("block"), lists.where("block > 0")
 
 
 def attach_lists(rows: DataFrame, ext: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -180,27 +178,35 @@ def content_item() -> Column:
         F.when(F.size("refs") > 0, F.col("refs")).alias("References"),
         F.col("source").alias("Source"),
         "Extensions", "ExtensionLinks", "ManagedType", "part_index", "total_parts",
+        "MeaningId", F.when(F.col("cont") >= 0, F.col("cont")).alias("cont"),
     ).cast(schemas.CONTENT_ITEM)
 
 
 def nest_words(rows: DataFrame, order: list[str], word_table: DataFrame, cfg: Config) -> DataFrame:
     """One record per word, words without meanings included.
 
-    A record holds at most ``items_per_row`` meanings; a larger word continues in further records of
-    the same metadata, ordered by ``block``.
+    A record holds at most ``items_per_row`` meanings and about ``chars_per_row`` characters; a larger word
+    continues in further records of the same metadata, ordered by ``block`` (0, 1, ...). Items carry the
+    id of their meaning; ``cont`` marks an item that continues the lists of that meaning.
     """
-    missing = {"ManagedType": "array<string>", "part_index": "int", "total_parts": "int"}
+    missing = {
+        "ManagedType": "array<string>", "part_index": "int", "total_parts": "int", "MeaningId": "long", "cont": "long",
+    }
     rows = rows.withColumns(
         {name: F.lit(None).cast(kind) for name, kind in missing.items() if name not in rows.columns}
     )
-    lists = block_lists(rows, "word_ord", order, content_item(), cfg.items_per_row, "content")
+    lists = block_lists(rows, "word_ord", order, content_item(), cfg.items_per_row, "content", cfg.chars_per_row)
     metadata = F.struct(
         F.col("WordLanguage").alias("Language"), "WordText", "WordTextAlternate", "Syllables", "TypeClass"
     )
     empty = F.array().cast(f"array<{schemas.CONTENT_ITEM}>")
-    return word_table.join(lists, "word_ord", "left").select(
+    # The metadata come to the blocks: those of a word with very many stay spread.
+    filled = lists.join(word_table, "word_ord")
+    without = word_table.join(lists.where("block = 0").select("word_ord"), "word_ord", "left_anti")
+    both = filled.unionByName(without, allowMissingColumns=True)
+    return both.select(
         "word_ord",
-        F.coalesce("block", F.lit(0)).alias("block"),
+        F.coalesce("block", F.lit(0).cast("long")).alias("block"),
         metadata.alias("metadata"),
         F.coalesce("content", empty).alias("content"),
     )

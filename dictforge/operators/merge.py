@@ -156,7 +156,9 @@ def _pack_bounds(items: Column, cfg: Config) -> Column:
 
 def _packs_in_rows(rows: DataFrame, item: Column, cfg: Config, keys: tuple[str, ...]) -> DataFrame:
     """Packs of groups that fit one row: one shuffle on the group, everything else inside the row."""
-    grouped = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("group"))
+    grouped = rows.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(item)).alias("group"), F.min("meaning_ord").alias("group_first")
+    )
     bounds = F.when(F.size("group") == 1, F.array(F.lit(1))).otherwise(_pack_bounds(F.col("group"), cfg))
     bounded = grouped.withColumn("starts", bounds)
 
@@ -168,6 +170,7 @@ def _packs_in_rows(rows: DataFrame, item: Column, cfg: Config, keys: tuple[str,
         *keys,
         F.size("group").cast("long").alias("group_items"),
         F.size("starts").cast("long").alias("group_packs"),
+        "group_first",
         F.posexplode(F.transform("starts", cut)).alias("pack", "items"),
     )
 
@@ -177,9 +180,16 @@ def _packs_across_rows(rows: DataFrame, item: Column, cfg: Config, keys: tuple[s
     packed = with_packs_of_large_groups(
         rows, list(keys), list(_ORDER), F.col("chars"), cfg.meanings_per_record, cfg.max_chars_per_split
     )
-    return packed.groupBy(*keys, "group_items", "group_packs", F.col("pack").cast("int").alias("pack")).agg(
+    packs = packed.groupBy(*keys, "group_items", "group_packs", F.col("pack").cast("int").alias("pack")).agg(
         F.array_sort(F.collect_list(item)).alias("items")
     )
+    firsts = rows.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).agg(
+        F.min("meaning_ord").alias("group_first")
+    )
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_g{i}"))
+    return packs.join(firsts, same).drop(*[f"_g{i}" for i in range(len(keys))])
 
 
 def merge_groups(
@@ -248,6 +258,7 @@ def _merged_rows(
         F.when(parted, F.col("pack") + 1).otherwise(F.col("first.part_index")).alias("part_index"),
         F.when(parted, F.col("group_packs").cast("int")).otherwise(F.col("first.total_parts")).alias("total_parts"),
         F.col("pack").cast("long").alias("pack"),
+        "group_first",
         *([_link_members(cfg).alias("link_members")] if "MeaningId" in carried else []),
     )
 
@@ -272,52 +283,44 @@ def merge_content(
     word_cols: tuple[str, ...] = (),
     extension_cols: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Split, tag, route, pack and merge the meanings of all words.
+    """Split, tag, route, pack and merge the meanings of all words, in one pass over ``rows``.
 
     ``rows`` needs word_ord, meaning_ord, source_short, text, Type, TypeGender, seq_no, refs,
     ExtensionLinks, has_ext and the ``word_cols``; ``extension_cols`` belong to the first part of unmerged
-    meanings and are null elsewhere. The result adds the position of each row in its word
-    as ``content_ord``: sequence first, then unmerged rows, then groups as their source sorts.
+    meanings and are null elsewhere. A part of an unmerged meaning is a group of its own, so unmerged and
+    merged rows share one shuffle. The result adds the position of each row in its word as ``content_ord``:
+    sequence first, then unmerged rows, then groups by their first appearance.
     """
-    routed = rows.withColumn(
-        "unmerged", is_unmerged(F.col("source_short"), F.col("has_ext"), cfg.unmerged_source)
-    )
-
-    small = fits_broadcast(labels)
-    if "raw_chars" not in routed.columns:
-        routed = routed.withColumn("raw_chars", F.length(T.text_or_empty(F.col("text"))))
-
-    def prepared(wanted: Column) -> DataFrame:
-        # Routed before the split, so each branch splits and tags its own rows only.
-        parts = split_meanings(routed.where(wanted), cfg.max_chars_per_split)
-        return with_managed_types(parts, labels, cfg, small)
-
-    carried = tuple(
-        c for c in rows.columns if c in word_cols or c in ("Language", "source", "MeaningId")
+    unmerged = is_unmerged(F.col("source_short"), F.col("has_ext"), cfg.unmerged_source)
+    if "raw_chars" not in rows.columns:
+        rows = rows.withColumn("raw_chars", F.length(T.text_or_empty(F.col("text"))))
+    routed = rows.withColumn("own", F.when(unmerged, F.col("meaning_ord")))
+    # The only second look at the input, and a narrow one: which groups are too large for a row.
+    census = routed.where(F.col("own").isNull()).select(
+        "word_ord", "source_short", "own", F.lit(None).cast("int").alias("own_part"),
+        (F.lit(1) + F.floor(F.col("raw_chars") / cfg.max_chars_per_split)).alias("weight"),
     )
-    kept = ["word_ord", "source_short", "meaning_ord", "part_ord", *carried, "text", "seq_no", "Type",
-            "TypeGender", "ManagedType", "refs", "ExtensionLinks", "part_index", "total_parts"]
-    members = ["link_members"] if "MeaningId" in carried else []
-    own = F.when(F.col("part_ord") == 0, F.array("MeaningId")) if members else F.lit(None)
-
-    alone = prepared(F.col("unmerged")).select(
-        *kept,
-        *[F.when(F.col("part_ord") == 0, F.col(c)).alias(c) for c in extension_cols],
-        *[own.alias(m) for m in members], F.lit(0).alias("emit"), F.lit(0).cast("long").alias("pack")
+    parts = with_managed_types(split_meanings(routed, cfg.max_chars_per_split), labels, cfg)
+    leading = F.col("own").isNotNull() & (F.col("part_ord") == 0)
+    parts = parts.withColumns(
+        {
+            "own_part": F.when(F.col("own").isNotNull(), F.col("part_ord")),
+            **{c: F.when(leading, F.col(c)) for c in extension_cols},
+        }
     )
-    census = routed.where(~F.col("unmerged")).select(
-        "word_ord", "source_short", (F.lit(1) + F.floor(F.col("raw_chars") / cfg.max_chars_per_split)).alias("weight")
+    carried = tuple(
+        c for c in rows.columns if c in word_cols or c in extension_cols or c in ("Language", "source", "MeaningId")
     )
-    merged = merge_groups(prepared(~F.col("unmerged")), cfg, carried=carried, census=census).select(
-        *kept, *[F.lit(None).cast(_type_of(rows, c)).alias(c) for c in extension_cols],
-        *members, F.lit(1).alias("emit"), "pack"
+    merged = merge_groups(
+        parts, cfg, keys=("word_ord", "source_short", "own", "own_part"), carried=carried, census=census
     )
-    return alone.unionByName(merged).withColumn(
+    emit = F.when(F.col("own").isNull(), 1).otherwise(0)
+    return merged.withColumn(
         "content_ord",
         F.struct(
             T.sequence_key(F.col("seq_no"), cfg.seqno_regex).alias("seq"),
-            "emit",
-            F.when(F.col("emit") == 1, F.col("source_short")).alias("group"),
+            emit.alias("emit"),
+            F.when(emit == 1, F.col("group_first")).alias("group"),
             "pack", "meaning_ord", "part_ord",
         ),
-    ).drop("emit", "pack")
+    ).drop("own", "own_part", "group_first", "pack")

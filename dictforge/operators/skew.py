@@ -82,35 +82,24 @@ def lookup_join(
     return salted_join(big, dim, key, how, spread)
 
 
-def bounded_lists(
-    df: DataFrame, key: str, order: list[str], value: Column, weight: Column, limit: int, name: str = "items"
-) -> DataFrame:
-    """Collect the ordered list of each key whose summed ``weight`` stays within ``limit``.
-
-    Returns ``(key, total_weight, name)`` with a null list for keys beyond the limit, which are never
-    gathered. The totals combine before the shuffle.
-    """
-    totals = df.groupBy(key).agg(F.sum(weight).alias("total_weight"))
-    beyond = totals.where(F.col("total_weight") > limit).select(key)
-    kept = lookup_join(df, beyond, key, "left_anti")
-    lists = kept.groupBy(key).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(*order, value.alias("_value")))), lambda x: x["_value"]
-        ).alias(name)
-    )
-    return totals.join(lists, key, "left")
-
-
 def block_lists(
-    df: DataFrame, key: str, order: list[str], value: Column, per_row: int, name: str = "items"
+    df: DataFrame, key: str, order: list[str], value: Column, per_row: int, name: str = "items",
+    max_chars: int | None = None,
 ) -> DataFrame:
-    """Collect every item of each key, at most ``per_row`` in one row.
+    """Collect every item of each key, at most ``per_row`` in one row, in rows numbered by ``block`` from 0.
 
-    Keys with up to ``per_row`` items give one row with ``block`` null. Larger keys continue over
-    several rows: their items are placed by a distributed sort and cut by global position, ``block``
-    orders the rows of a key.
+    A key with more items, or with more than ``max_chars`` characters in them, continues over several
+    rows: its items are placed by a distributed sort and cut by their position inside the key, so the
+    blocks of a key depend on its own items only. Rows of a key that is cut by characters hold so many
+    items that their mean comes to ``max_chars``.
     """
-    beyond = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > per_row).select(key)
+    valued = df.select(key, *order, value.alias("_value"))
+    chars = F.sum(F.length(F.to_json(F.struct("_value")))) if max_chars else F.lit(0)
+    sizes = valued.groupBy(key).agg(F.count("*").alias("_n"), chars.alias("_chars"))
+    fitting = F.lit(per_row)
+    if max_chars:
+        fitting = F.least(fitting, F.greatest(F.lit(1), F.floor(F.col("_n") * max_chars / F.greatest("_chars", F.lit(1)))))
+    beyond = sizes.withColumn("_per", fitting.cast("long")).where("_n > _per").select(key, "_per")
 
     def gather(rows: DataFrame, *keys: str) -> DataFrame:
         return rows.groupBy(*keys).agg(
@@ -119,10 +108,12 @@ def block_lists(
             ).alias(name)
         )
 
-    valued = df.select(key, *order, value.alias("_value"))
     if beyond.isEmpty():
-        return gather(valued, key).withColumn("block", F.lit(None).cast("long"))
-    usual = gather(lookup_join(valued, beyond, key, "left_anti"), key)
-    large = ordered.with_global_index(lookup_join(valued, beyond, key, "left_semi"), [key, *order], "_pos")
-    blocks = gather(large.withColumn("block", F.expr(f"_pos div {per_row}")), key, "block")
-    return usual.withColumn("block", F.lit(None).cast("long")).unionByName(blocks)
+        return gather(valued, key).withColumn("block", F.lit(0).cast("long"))
+    usual = gather(lookup_join(valued, beyond.select(key), key, "left_anti"), key)
+    large = ordered.with_global_index(lookup_join(valued, beyond.select(key), key, "left_semi"), [key, *order], "_pos")
+    # One row per large key: where it begins among them and how many items a row of it takes.
+    starts = large.groupBy(key).agg(F.min("_pos").alias("_start")).join(beyond, key)
+    placed = lookup_join(large, starts, key, "inner")
+    blocks = gather(placed.withColumn("block", F.expr("(_pos - _start) div _per")), key, "block")
+    return usual.withColumn("block", F.lit(0).cast("long")).unionByName(blocks)

@@ -13,8 +13,11 @@ from dictforge import schemas
 from dictforge.config import Config
 from dictforge.functions import text as T
 from dictforge.operators import audit, extract, merge, tasks
+from dictforge.operators.ordered import with_global_index
 from dictforge.plans import build
 from dictforge.plans.catalog import query, sql_html, sql_key, sql_normalize, sql_strip, sql_valid, table
+from dictforge.session import scratch_path
+from dictforge.sources import readers, writers
 
 CFG = Config()
 RELATED = Config(relation_tasks=True)
@@ -27,7 +30,7 @@ INPUTS = {
     "words": """SELECT p_partkey AS WordId, p_name AS WordText,
         CASE WHEN p_size % 5 = 0 THEN NULL WHEN p_size % 5 = 1 THEN '' ELSE 'en' END AS Language,
         CASE WHEN p_size % 3 = 0 THEN p_brand END AS WordTextAlternate, p_type AS Syllables FROM part""",
-    "meanings": f"""SELECT {_MEANING_ID} AS MeaningId, l_partkey AS WordId, l_suppkey AS SourceId,
+    "meanings": f"""SELECT {_MEANING_ID} AS MeaningId, l_partkey - CASE WHEN l_partkey % 7 = 3 THEN 1 ELSE 0 END AS WordId, l_suppkey AS SourceId,
         concat('Sense <b>', l_returnflag, '</b> of 4, ', CAST(l_quantity AS BIGINT), ' &amp; more.. <a class="k" href="/dictionary/',
           {_SOURCE_CODE}, '/text?ref=R ', CAST(l_quantity AS BIGINT), '..">cite</a> ',
           CASE WHEN l_quantity < 5 THEN concat('<a href="/dictionary/z/text?ref=', l_orderkey, '">too</a>') ELSE '' END,
@@ -36,23 +39,23 @@ INPUTS = {
         CASE WHEN l_quantity > 45 THEN NULL ELSE concat(l_returnflag, ' ') END AS Type, l_linestatus AS TypeGender,
         CASE WHEN l_discount > 0.08 THEN '' WHEN l_discount > 0.05 THEN 'sa' END AS Language,
         CASE WHEN CAST(l_quantity AS BIGINT) % 10 = 0 THEN NULL ELSE l_linenumber END AS SeqNo
-        FROM lineitem WHERE l_partkey % 7 <> 3""",
-    "sources": """SELECT s_suppkey AS SourceId,
+        FROM lineitem""",
+    "sources": """SELECT s_suppkey * CASE WHEN s_suppkey % 13 = 5 THEN -1 ELSE 1 END AS SourceId,
         CASE WHEN s_suppkey % 10 = 0 THEN NULL WHEN s_suppkey % 10 = 1 THEN 'wordnet.indo.x'
           ELSE concat('src', s_nationkey % 3) END AS SourceShortText,
         CASE WHEN s_suppkey % 20 = 0 THEN NULL ELSE s_name END AS SourceLongText,
-        CASE WHEN s_nationkey % 2 = 0 THEN 'sa,en' END AS SourceLanguages FROM supplier WHERE s_suppkey % 13 <> 5""",
-    "extensions": f"""SELECT {_MEANING_ID} AS MeaningId,
-        CASE o_orderpriority WHEN '1-URGENT' THEN 'iwn.lang.hin' WHEN '2-HIGH' THEN 'iwn.SYNONYM'
-          WHEN '3-MEDIUM' THEN 'iwn.lang.tam' WHEN '4-NOT SPECIFIED' THEN 'Roots' ELSE 'iwn.HOLO_PLACE_AREA' END AS ExtensionType,
+        CASE WHEN s_nationkey % 2 = 0 THEN 'sa,en' END AS SourceLanguages FROM supplier""",
+    "extensions": f"""SELECT {_MEANING_ID} * CASE WHEN l_linenumber % 2 = 1 AND o_orderkey % 3 = 0 THEN 1 ELSE -1 END AS MeaningId,
+        CASE WHEN o_custkey % 11 = 0 THEN 'iwn.ONTOLOGY' WHEN o_custkey % 11 = 1 THEN 'iwn.MERO_STUFF_OBJECT'
+          WHEN o_custkey % 11 = 2 THEN 'iwn.HYPERNYMY' ELSE CASE o_orderpriority WHEN '1-URGENT' THEN 'iwn.lang.hin' WHEN '2-HIGH' THEN 'iwn.SYNONYM'
+          WHEN '3-MEDIUM' THEN 'iwn.lang.tam' WHEN '4-NOT SPECIFIED' THEN 'Roots' ELSE 'iwn.HOLO_PLACE_AREA' END END AS ExtensionType,
         CASE WHEN o_custkey % 9 = 0 THEN '' ELSE concat('w', o_custkey % 50, ', v', l_linenumber) END AS WordList,
         o_orderstatus AS Details FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-        WHERE l_linenumber % 2 = 1 AND o_orderkey % 3 = 0
-        UNION ALL SELECT {_MEANING_ID}, 'iwn.lang.ben', concat('b', l_quantity < 25), NULL FROM lineitem
-        WHERE l_orderkey % 6 = 0""",
-    "extension_links": f"""SELECT {_MEANING_ID} AS MeaningId,
+        UNION ALL SELECT {_MEANING_ID} * CASE WHEN l_orderkey % 6 = 0 THEN 1 ELSE -1 END, 'iwn.lang.ben',
+        concat('b', l_quantity < 25), NULL FROM lineitem""",
+    "extension_links": f"""SELECT {_MEANING_ID} * CASE WHEN l_tax > 0.04 THEN 1 ELSE -1 END AS MeaningId,
         CASE WHEN l_linenumber = 1 THEN ' | ,' ELSE concat('a', l_linenumber, '| b', CAST(l_quantity AS BIGINT) % 3, ' ,, c|') END AS WordList
-        FROM lineitem WHERE l_tax > 0.04""",
+        FROM lineitem""",
     "titles": "SELECT chr(97 + n_nationkey) AS Code, n_name AS Title FROM nation",
 }
 LABELS = [
@@ -62,6 +65,7 @@ LABELS = [
 CATEGORIES = [
     ("iwn.lang.hin", "Translation"), ("iwn.lang.tam", "Translation"), ("iwn.SYNONYM", "Relationship"),
     ("Roots", "Etymology"), ("iwn.HOLO_PLACE_AREA", "Holonymy"),
+    ("iwn.ONTOLOGY", "Ontology"), ("iwn.MERO_STUFF_OBJECT", "Meronymy"), ("iwn.HYPERNYMY", "Relationship"),
 ]
 
 
@@ -166,7 +170,7 @@ _QUOTE = r"''([^'']+)''\s*-\s*([^.]+)\."
 _TASKS = f"""{_MERGED},
 categories(ext_type, category) AS (VALUES {_values(CATEGORIES)}),
 kinds AS (SELECT MeaningId, ExtensionType, WordList, CASE WHEN starts_with(ExtensionType, 'iwn.lang.') THEN 'translation'
-    WHEN contains(ExtensionType, 'SYNONYM') THEN 'synonym' ELSE lower(category) END AS kind
+    WHEN contains(ExtensionType, 'SYNONYM') THEN 'synonym' WHEN category = 'Relationship' THEN 'ontology' ELSE lower(category) END AS kind
   FROM extensions LEFT JOIN categories ON ext_type = ExtensionType WHERE coalesce(WordList, '') <> ''),
 answers AS (SELECT MeaningId, kind, string_agg(CASE WHEN kind = 'translation' THEN concat(upper(split_part(ExtensionType, '.', 3)), ': ', WordList)
     ELSE WordList END, ', ' ORDER BY ExtensionType, WordList) AS answer FROM kinds GROUP BY MeaningId, kind),
@@ -188,7 +192,8 @@ records AS (
   UNION ALL
   SELECT u.*, n.ord, n.kind, concat(n.mark, marker, ' ', WordText), concat_ws(' ', concat(n.opening, a.answer, '.'), cited)
   FROM listed u JOIN answers a USING (MeaningId) JOIN (VALUES ('translation', 1, 'Trans:', 'Translations: '), ('synonym', 2, 'Syn:', 'Synonyms: '),
-    ('etymology', 4, 'Ety:', 'Etymology: '), ('holonymy', 7, 'Holo:', 'Holonymy: ')) n(kind, ord, mark, opening) ON n.kind = a.kind
+    ('etymology', 4, 'Ety:', 'Etymology: '), ('ontology', 5, 'Onto:', 'Ontology: '), ('meronymy', 6, 'Mero:', 'Meronymy: '),
+    ('holonymy', 7, 'Holo:', 'Holonymy: ')) n(kind, ord, mark, opening) ON n.kind = a.kind
   UNION ALL
   SELECT u.*, 3, 'citation', concat('Cite:', marker, ' ', WordText), concat('"', WordText, '" Def: ', clean, '.', chr(10),
     array_to_string(list_transform(cites[1:10], lambda c: concat('- Source: ', c)), chr(10))) FROM listed u WHERE len(cites) > 0),
@@ -253,13 +258,17 @@ def clean_word_list(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", T.clean_word_list(raw).alias("words"))
 
 
-@query(_with(_EXTRACTED, """SELECT WordId AS word_ord, len(l) AS meanings, md5(coalesce(array_to_string(l, chr(10)), '')) AS content FROM (
-  SELECT w.WordId, list(concat_ws('|', e.text, e.Type, CAST(e.SeqNo AS VARCHAR), coalesce(x.items, '-'), coalesce(k.items, '-'))
+@query(_with(_EXTRACTED, """SELECT WordId AS word_ord, len(l) AS meanings, md5(coalesce(array_to_string(l, chr(10)), '')) AS content, metadata FROM (
+  SELECT w.WordId, concat_ws('|', w.WordText, coalesce(nullif(w.Language, ''), 'sa'), coalesce(w.WordTextAlternate, '-'), w.Syllables, 'dictionary_entry') AS metadata,
+    list(concat_ws('|', e.text, e.Type, e.TypeGender, coalesce(nullif(e.Language, ''), '-'), CAST(e.SeqNo AS VARCHAR), array_to_string(e.refs, ';'),
+      coalesce(e.SourceShortText, '-'), coalesce(e.SourceLongText, '-'),
+      CASE WHEN coalesce(e.SourceShortText, '') <> '' OR coalesce(e.SourceLongText, '') <> '' THEN coalesce(e.SourceLanguages, '-') ELSE '-' END,
+      coalesce(x.items, '-'), coalesce(k.items, '-'))
     ORDER BY e.SourceShortText NULLS FIRST, e.SeqNo NULLS FIRST, e.MeaningId) FILTER (e.MeaningId IS NOT NULL) AS l
   FROM words w LEFT JOIN extracted e USING (WordId)
   LEFT JOIN (SELECT MeaningId, string_agg(concat(ExtensionType, '=', WordList), ',' ORDER BY ExtensionType, WordList) AS items FROM extensions GROUP BY 1) x USING (MeaningId)
   LEFT JOIN (SELECT MeaningId, string_agg(w, ';' ORDER BY w) AS items FROM (SELECT MeaningId, """ + _CLEAN_LIST + """ AS w FROM extension_links)
-    WHERE w <> '' GROUP BY 1) k USING (MeaningId) GROUP BY w.WordId)""").replace("len(l) AS meanings", "coalesce(len(l), 0) AS meanings"))
+    WHERE w <> '' GROUP BY 1) k USING (MeaningId) GROUP BY w.WordId, metadata)""").replace("len(l) AS meanings", "coalesce(len(l), 0) AS meanings"))
 def nested_word_records(spark: SparkSession, sf: str) -> DataFrame:
     tables = dictionary(spark, sf)
     records = build.word_records(tables, tables["titles"], CFG)
@@ -267,10 +276,15 @@ def nested_word_records(spark: SparkSession, sf: str) -> DataFrame:
     def line(m):
         ext = F.array_join(F.transform(m["Extensions"], lambda e: F.concat_ws("=", e["ExtensionType"], e["WordList"])), ",")
         links = F.array_join(F.transform(m["ExtensionLinks"], lambda e: e["WordList"]), ";")
-        return F.concat_ws("|", m["MeaningText"], m["Type"], m["SeqNo"], F.coalesce(ext, F.lit("-")), F.coalesce(links, F.lit("-")))
+        cite = lambda r: F.concat_ws("|", r["InternalCode"], r["ReferenceCode"], F.coalesce(r["Title"], F.lit("")))
+        refs = F.coalesce(F.array_join(F.transform(m["References"], cite), ";"), F.lit(""))
+        given = [F.coalesce(c, F.lit("-")) for c in (m["Source"]["ShortText"], m["Source"]["LongText"], m["Source"]["Languages"], ext, links)]
+        return F.concat_ws("|", m["MeaningText"], m["Type"], m["TypeGender"], F.coalesce(m["Language"], F.lit("-")), m["SeqNo"], refs, *given)
 
+    word = F.concat_ws("|", "metadata.WordText", "metadata.Language", F.coalesce("metadata.WordTextAlternate", F.lit("-")),
+                       "metadata.Syllables", "metadata.TypeClass")
     return records.select(
-        "word_ord", F.size("content").cast("long").alias("meanings"),
+        "word_ord", word.alias("metadata"), F.size("content").cast("long").alias("meanings"),
         F.md5(F.array_join(F.transform("content", line), "\n")).alias("content"),
     )
 
@@ -305,13 +319,17 @@ def merged(spark: SparkSession, sf: str) -> DataFrame:
     return build.merged_meanings(tables, tables["titles"], labels(spark), CFG)
 
 
-@query(_with(_MERGED, """SELECT MeaningId, WordId AS word_ord, source_short, text, seq_no, array_to_string(tags, ',') AS tags, array_to_string(cites, ', ') AS cites,
+_CONTENT_SQL = _with(_MERGED, """SELECT MeaningId, WordId AS word_ord, source_short, text, seq_no, array_to_string(tags, ',') AS tags, array_to_string(cites, ', ') AS cites,
   CAST(part_index AS BIGINT) AS part_index, CAST(total_parts AS BIGINT) AS total_parts, row_number() OVER (PARTITION BY WordId ORDER BY seq_sort, emit, grp, pack,
-  SourceShortText NULLS FIRST, SeqNo NULLS FIRST, MeaningId) AS position FROM content"""))
+  SourceShortText NULLS FIRST, SeqNo NULLS FIRST, MeaningId) AS position FROM content""")
+
+
+@query(_CONTENT_SQL)
 def merged_content(spark: SparkSession, sf: str) -> DataFrame:
-    from dictforge.operators.ordered import with_global_index
+    return _compared_content(with_global_index(merged(spark, sf), ["word_ord", "content_ord"]))
+
 
-    rows = with_global_index(merged(spark, sf), ["word_ord", "content_ord"])
+def _compared_content(rows: DataFrame) -> DataFrame:
     firsts = rows.groupBy("word_ord").agg(F.min("gidx").alias("first"))
     cite = lambda r: F.concat(F.coalesce(r["Title"], r["InternalCode"]), F.lit(" ["), r["ReferenceCode"], F.lit("]"))
     return rows.join(firsts, "word_ord").select(
@@ -341,7 +359,7 @@ task_definition = _task_query(("definition",), "task_definition")
 task_translation = _task_query(("translation",), "task_translation")
 task_synonym = _task_query(("synonym",), "task_synonym")
 task_citation = _task_query(("citation",), "task_citation")
-task_relations = _task_query(("etymology", "holonymy"), "task_relations")
+task_relations = _task_query(("etymology", "ontology", "meronymy", "holonymy"), "task_relations")
 
 
 @query(_with(_TASKS, """SELECT MeaningId, task, usr_prompt, target, concept_key, concat('<s>[INST] ', usr_prompt, ' [/INST] ', target, ' </s>') AS text
@@ -363,3 +381,45 @@ def processed_word_records(spark: SparkSession, sf: str) -> DataFrame:
         "word_ord", F.size("content").cast("long").alias("meanings"),
         F.md5(F.array_join(F.transform("content", line), "\n")).alias("content"),
     )
+
+
+@query(_CONTENT_SQL)
+def records_reread(spark: SparkSession, sf: str) -> DataFrame:
+    """Word records written in blocks of three meanings and lists, read back and merged like the tables themselves."""
+    tables, path = dictionary(spark, sf), scratch_path(spark, "word_records")
+    writers.write_records(build.word_records(tables, tables["titles"], Config(items_per_row=3)), path)
+    rows = readers.content_rows(readers.read_records(spark, path, schemas.NUMBERED_WORD_RECORD, "FAILFAST"))
+    again = merge.merge_content(rows, labels(spark), CFG, build.WORD_COLUMNS)
+    return _compared_content(with_global_index(again, ["word_ord", "content_ord"]))
+
+
+@query("""WITH t AS (SELECT chr(97 + CAST(n_nationkey % 12 AS INT)) AS code, n_nationkey AS ord, CASE WHEN n_nationkey % 7 > 0 THEN n_name END AS title FROM nation),
+last AS (SELECT code, arg_max(title, ord) FILTER (title IS NOT NULL) AS title FROM t GROUP BY code),
+refs AS (SELECT s_suppkey, unnest(CASE s_suppkey % 4 WHEN 0 THEN [] WHEN 1 THEN [s_suppkey] ELSE [s_suppkey, s_suppkey + 5] END) % 14 AS n,
+  generate_subscripts(CASE s_suppkey % 4 WHEN 0 THEN [] WHEN 1 THEN [s_suppkey] ELSE [s_suppkey, s_suppkey + 5] END, 1) AS pos FROM supplier),
+cited AS (SELECT s_suppkey, string_agg(coalesce(title, '-'), ',' ORDER BY pos) AS titles, count(*) AS n FROM refs LEFT JOIN last ON code = chr(97 + CAST(refs.n AS INT)) GROUP BY 1)
+SELECT s.s_suppkey, coalesce(titles, '') AS titles, CAST(coalesce(n, 0) AS INT) AS refs FROM supplier s LEFT JOIN cited USING (s_suppkey)""")
+def titles_last_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """Titles from a JSON list with repeated codes and rows without a title, looked up for rows with and without references."""
+    path = scratch_path(spark, "titles")
+    entry = F.struct(F.expr("chr(97 + n_nationkey % 12)").alias("Code"), F.when(F.expr("n_nationkey % 7 > 0"), F.col("n_name")).alias("Title"))
+    listed = F.array_sort(F.collect_list(F.struct("n_nationkey", entry.alias("e"))))
+    # The 25 nations are one list in one file.
+    table(spark, sf, "nation").agg(F.to_json(F.transform(listed, lambda x: x["e"])).alias("value")).write.text(path)
+    ref = lambda n: F.struct(F.expr(f"chr(97 + cast(({n}) % 14 as int))").alias("InternalCode"), F.lit("1").alias("ReferenceCode"))
+    first, both = F.array(ref("s_suppkey")), F.array(ref("s_suppkey"), ref("s_suppkey + 5"))
+    refs = F.when(F.expr("s_suppkey % 4 = 0"), F.slice(first, 1, 0)).when(F.expr("s_suppkey % 4 = 1"), first).otherwise(both)
+    rows = extract.with_titles(table(spark, sf, "supplier").select("s_suppkey", refs.alias("refs")), readers.read_titles(spark, path), row_id="s_suppkey")
+    titles = F.array_join(F.transform("refs", lambda r: F.coalesce(r["Title"], F.lit("-"))), ",")
+    return rows.select("s_suppkey", titles.alias("titles"), F.size("refs").alias("refs"))
+
+
+@query(_with(_EXTRACTED, """SELECT MeaningId, WordId AS word_ord, text, array_to_string(refs, ';') AS refs FROM extracted"""))
+def dictionary_reread(spark: SparkSession, sf: str) -> DataFrame:
+    """The five tables written as a dictionary folder and read with their declared columns."""
+    tables, path = dictionary(spark, sf), scratch_path(spark, "dictionary")
+    for name in ("words", "meanings", "sources", "extensions", "extension_links"):
+        tables[name].withColumn("unused", F.lit(1)).write.parquet(f"{path}/{name}")
+    rows = build.meaning_rows(readers.read_dictionary(spark, path), tables["titles"], CFG)
+    cite = lambda r: F.concat_ws("|", r["InternalCode"], r["ReferenceCode"], F.coalesce(r["Title"], F.lit("")))
+    return rows.select("MeaningId", "word_ord", "text", F.array_join(F.transform("refs", cite), ";").alias("refs"))

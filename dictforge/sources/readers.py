@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dictforge import schemas
+from dictforge.operators.ordered import with_global_index
 
 
 def read_table(
@@ -78,28 +80,59 @@ def read_records(
 
 
 def content_rows(records: DataFrame) -> DataFrame:
-    """Word records back to one row per meaning; entries that only continue a list are left out."""
-    rows = records.withColumn("word_ord", F.xxhash64("metadata")) if "word_ord" not in records.columns else records
+    """Word records back to one row per meaning.
+
+    Records that ``plans.build`` wrote carry ``word_ord`` and ``block``. Those of others are numbered by
+    file name and place, read with ``with_file``, so words of equal metadata stay apart; their order is
+    that of the files. Null texts are empty. Items that continue the lists of a meaning go back into it.
+    """
+    rows = records
+    if "word_ord" not in rows.columns:
+        if "file_name" not in rows.columns:
+            raise ValueError("read the records with their files, or with word_ord")
+        placed = rows.withColumn("_line", F.monotonically_increasing_id())
+        rows = with_global_index(placed, ["file_name", "_line"], "word_ord").drop("_line")
     block = F.col("block") if "block" in rows.columns else F.lit(0)
-    items = rows.select("word_ord", block.alias("block"), "metadata", F.posexplode("content").alias("pos", "m"))
-    return items.where(F.col("m.MeaningText").isNotNull()).select(
+    items = rows.select("word_ord", block.cast("long").alias("block"), "metadata", F.posexplode("content").alias("pos", "m"))
+    own = items.where(F.col("m.cont").isNull())
+    more = items.where(F.col("m.cont").isNotNull())
+    extensions, links = F.col("m.Extensions"), F.col("m.ExtensionLinks")
+    if not more.isEmpty():
+        continued = more.groupBy("word_ord", F.col("m.MeaningId").alias("_id")).agg(
+            F.array_sort(F.collect_list(F.struct("m.cont", "m.Extensions", "m.ExtensionLinks"))).alias("_more")
+        )
+        own = own.withColumn("_id", F.col("m.MeaningId")).join(continued, ["word_ord", "_id"], "left")
+
+        def whole(first: Column, name: str, kind: str) -> Column:
+            # An item continues one list; those of the other are null.
+            empty = F.array().cast(f"array<{kind}>")
+            rest = F.flatten(F.transform("_more", lambda i: F.coalesce(i[name], empty)))
+            return F.when(F.size(rest) > 0, F.concat(F.coalesce(first, empty), rest)).otherwise(first)
+
+        # A part after the first has no lists of its own to continue.
+        leading = F.coalesce(F.col("m.part_index"), F.lit(1)) == 1
+        extensions = F.when(leading, whole(extensions, "Extensions", schemas.EXTENSION)).otherwise(extensions)
+        links = F.when(leading, whole(links, "ExtensionLinks", schemas.LINK)).otherwise(links)
+    return own.select(
         "word_ord",
-        F.struct(F.col("block").cast("long").alias("block"), "pos").alias("meaning_ord"),
+        F.struct("block", "pos").alias("meaning_ord"),
+        F.col("m.MeaningId").alias("MeaningId"),
         F.col("metadata.WordText").alias("WordText"),
         F.col("metadata.Language").alias("WordLanguage"),
         F.col("metadata.WordTextAlternate").alias("WordTextAlternate"),
         F.col("metadata.Syllables").alias("Syllables"),
-        F.col("m.MeaningText").alias("text"),
+        F.col("metadata.TypeClass").alias("TypeClass"),
+        F.coalesce("m.MeaningText", F.lit("")).alias("text"),
         F.col("m.Type").alias("Type"),
         F.col("m.TypeGender").alias("TypeGender"),
         F.col("m.SeqNo").alias("seq_no"),
         F.col("m.Language").alias("Language"),
-        F.col("m.References").alias("refs"),
+        F.coalesce("m.References", F.array().cast(f"array<{schemas.REFERENCE}>")).alias("refs"),
         F.col("m.Source").alias("source"),
         F.coalesce("m.Source.ShortText", F.lit("")).alias("source_short"),
-        F.col("m.Extensions").alias("Extensions"),
-        F.col("m.ExtensionLinks").alias("ExtensionLinks"),
-        (F.coalesce(F.size("m.Extensions"), F.lit(0)) > 0).alias("has_ext"),
+        extensions.alias("Extensions"),
+        links.alias("ExtensionLinks"),
+        (F.coalesce(F.size(extensions), F.lit(0)) > 0).alias("has_ext"),
         F.col("m.ManagedType").alias("ManagedType"),
         F.col("m.part_index").alias("part_index"),
         F.col("m.total_parts").alias("total_parts"),
@@ -155,8 +188,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         found = spark.read.schema(schema).parquet(path)
         found.select(F.lit(1)).agg(F.count("*")).first()
         return found
-    except PySparkException as error:
-        if error.getCondition() == "PATH_NOT_FOUND" or any(d in str(error) for d in _DAMAGED):
+    except (PySparkException, Py4JJavaError) as error:
+        if any(d in str(error) for d in ("PATH_NOT_FOUND", *_DAMAGED)):
             return spark.createDataFrame([], schema)
         raise
 

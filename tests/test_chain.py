@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dictforge import schemas
 from dictforge.config import Config
-from dictforge.operators import dataset, extract, merge, tasks
+from dictforge.operators import dataset, extract, merge, tasks, telemetry
 from dictforge.plans import build
 from dictforge.sources import readers, writers
 
@@ -138,10 +138,12 @@ def test_many_citations(spark):
     assert text.endswith("c9 [9]....") and "c10" not in text
 
 
-def test_oversized_answers_are_dropped_without_gathering(spark):
+def test_oversized_answers_are_marked_without_gathering(spark):
     rows = [(1, "iwn.lang.hin", "x" * 3000, None)] * 4 + [(1, "iwn.SYNONYM", "s", None), (2, "iwn.lang.hin", "y", None)]
     got = tasks.extension_answers(spark.createDataFrame(rows, schemas.EXTENSIONS), Config()).collect()
-    assert {(r["MeaningId"], r["translation"], r["synonym"]) for r in got} == {(1, None, "s"), (2, "HIN: y", None)}
+    found = {r["MeaningId"]: (r["translation"], r["synonym"]) for r in got}
+    assert found[1][0].startswith("too long: 12020 .") and len(found[1][0]) == Config().max_target_chars + 1
+    assert found[1][1] == "s" and found[2] == ("HIN: y", None)
 
 
 def split_model(text, limit):
@@ -215,13 +217,13 @@ def test_titles_by_join_equal_titles_by_map(spark, monkeypatch):
 
 def test_titles_last_wins(spark):
     titles = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), ("b", None, 3)], "Code string, Title string, ord int")
-    assert [tuple(r) for r in extract.title_dimension(titles, "ord").collect()] == [("a", "2")]
+    assert [tuple(r) for r in extract.title_dimension(titles).collect()] == [("a", "2")]
 
 
 def test_record_files_round_trip(spark, small, titles, tmp_path):
     records = build.word_records(small, titles)
     writers.write_records(records, str(tmp_path / "records"))
-    back = readers.read_records(spark, str(tmp_path / "records"), f"word_ord long, block long, {schemas.WORD_RECORD}", "FAILFAST")
+    back = readers.read_records(spark, str(tmp_path / "records"), schemas.NUMBERED_WORD_RECORD, "FAILFAST")
     rows = readers.content_rows(back)
     assert rows.count() == 9
     again = merge.merge_content(rows, spark.sql(LABELS), Config(), build.WORD_COLUMNS)
@@ -238,3 +240,78 @@ def test_unescape_matches_the_standard_library(spark):
     samples = ["&amp;", "a & b", "&#x915;", "&copy", "&notit;", "&&lt;", "& &gt", "x&"]
     df = spark.createDataFrame([(s,) for s in samples], "s string")
     assert [r[0] for r in df.select(T.unescape_html(F.col("s"))).collect()] == [html.unescape(s) for s in samples]
+
+
+def test_too_long_answers_stand_until_validation(spark, titles):
+    tables = tables_of(
+        spark,
+        words=[(1, "w", "sa", None, None)], sources=[(1, "s", "S", None)],
+        meanings=[(1, 1, 1, "some text", None, None, None, 1)],
+        extensions=[(1, "iwn.lang.hin", "h" * 60, None), (1, "iwn.lang.hin", "i" * 60, None), (1, "iwn.SYNONYM", "short", None)],
+        extension_links=[],
+    )
+    cfg = Config(max_target_chars=100)
+    answers = tasks.extension_answers(tables["extensions"], cfg)
+    rows = build.merged_meanings(tables, titles, spark.sql(LABELS), cfg, answers=answers)
+    records = tasks.task_records(tasks.with_usages(rows, cfg), cfg)
+    found = {r["task"]: r["raw_target"] for r in records.collect()}
+    assert found["translation"].startswith("Translations: too long: 130 ") and len(found["translation"]) > 100
+    assert found["synonym"] == "Synonyms: short."
+    assert "translation" not in {r["task"] for r in dataset.valid_records(records, cfg).collect()}
+
+
+def test_homographs_null_texts_and_file_order_survive(spark, tmp_path):
+    word = '{"metadata":{"WordText":"w"},"content":[%s]}'
+    z, a = ('{"MeaningText":"%s","Source":{"ShortText":"%s"}}' % (t, s) for t, s in (("of z", "z"), ("of a", "a")))
+    (tmp_path / "b.json").write_text(word % z.replace("of z", "two") + "\n", encoding="utf-8")
+    (tmp_path / "a.json").write_text(word % ",".join([z, a, '{"Type":"n"}']) + "\n\n{broken\n", encoding="utf-8")
+    records = readers.read_records(spark, str(tmp_path), schemas.WORD_RECORD, with_file=True)
+    rows = readers.content_rows(records)
+    found = merge.merge_content(rows, spark.sql(LABELS), Config(), build.WORD_COLUMNS)
+    ordered = [(r["word_ord"], r["text"]) for r in found.orderBy("word_ord", "content_ord").collect()]
+    assert ordered == [(0, "of z"), (0, "of a"), (0, ""), (1, "two")]
+
+
+def test_titles_read_in_list_order(spark, tmp_path):
+    (tmp_path / "t.json").write_text('[{"Code":"a","Title":"z"},{"Code":"b"},{"Code":"a","Title":"b"}]', encoding="utf-8")
+    read = readers.read_titles(spark, str(tmp_path / "t.json"))
+    assert sorted(map(tuple, read.collect())) == [("a", "b", 2), ("a", "z", 0)]
+    rows = spark.createDataFrame([(1, [("a", "1")])], "MeaningId int, refs array<struct<InternalCode:string,ReferenceCode:string>>")
+    assert extract.with_titles(rows, read).first()["refs"][0]["Title"] == "b"
+    assert [tuple(r) for r in extract.reference_audit(rows, read).collect()] == [("a", "b")]
+
+
+def test_statistics_by_header(spark, tmp_path):
+    folder = tmp_path / "run_id=r1"
+    folder.mkdir()
+    (folder / "one.csv").write_text("step,loss,learning_rate,epoch,timestamp\n10,2.5,0.0001,1.0,2024-01-02 03:04:05\n")
+    (folder / "two.csv").write_text("Iter,TrainLoss,ValLoss\n5,nan,\n")
+    steps = readers.read_stats(spark, str(tmp_path), schemas.STEP_STATS)
+    row = steps.where("step is not null").first()
+    assert (row["run_id"], row["step"], row["loss"], row["learning_rate"], row["epoch"], row["eval_loss"]) == ("r1", 10, 2.5, 1e-4, 1.0, None)
+    own = readers.read_stats(spark, str(tmp_path)).where("Iter is not null").first()
+    assert own["TrainLoss"] != own["TrainLoss"] and own["ValLoss"] is None
+
+
+def test_damaged_blacklist_is_empty(spark, tmp_path):
+    assert readers.read_or_empty(spark, str(tmp_path / "none"), schemas.BLACKLIST).count() == 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"not a table")
+    assert readers.read_or_empty(spark, str(tmp_path / "bad"), schemas.BLACKLIST).count() == 0
+
+
+def test_blacklist_of_another_run_changes_nothing(spark):
+    numbered = spark.range(10).select(F.col("id").alias("gidx"))
+    listed = spark.createDataFrame([("a", 1), ("b", 2)], schemas.BLACKLIST)
+    cfg = Config(batch_size=1, gradient_accumulation_steps=3)
+    kept = dataset.training_set(numbered, listed, cfg, run_id="b")
+    assert sorted(r["gidx"] for r in kept.collect()) == [0, 1, 2, 6, 7, 8, 9]
+    with pytest.raises(ValueError):
+        dataset.training_set(numbered, listed, cfg)
+
+
+def test_attempts_follow_each_other(spark):
+    rows = [("r", 1, 1, 1.0), ("r", 0, 1, 3.0), ("r", 1, 2, 0.5), ("r", 0, 2, 2.0)]
+    stats = spark.createDataFrame(rows, "run_id string, attempt int, Iter int, TrainLoss double").withColumn("ValLoss", F.lit(None).cast("double"))
+    summary = telemetry.loss_summary(telemetry.loss_series(stats, "own")).first()
+    assert (summary["rows"], summary["first_train_loss"], summary["last_train_loss"]) == (4, 3.0, 0.5)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dictforge.operators.ordered import with_global_index, with_packs, with_run_length
-from dictforge.operators.skew import block_lists, bounded_lists, lookup_join, salted_join
+from dictforge.operators.skew import block_lists, lookup_join, salted_join
 
 
 @pytest.fixture(params=[50, 10**6])
@@ -120,11 +120,17 @@ def test_block_lists_keep_everything(spark, split):
     assert max(len(r["items"]) for r in got) <= 10
     hot = [i for r in sorted((r for r in got if r["k"] == "hot"), key=lambda r: r["block"]) for i in r["items"]]
     assert hot == list(range(95))
-    assert {r["k"]: r["items"] for r in got if r["block"] is None} == {"a": [1], "b": [1, 2]}
-
-
-def test_bounded_lists(spark):
-    df = spark.createDataFrame([("a", 2, "xx"), ("a", 1, "y"), ("b", 1, "z" * 50)], "k string, i int, v string")
-    got = {r["k"]: (r["total_weight"], r["items"]) for r in
-           bounded_lists(df, "k", ["i"], F.col("v"), F.length("v"), 10).collect()}
-    assert got == {"a": (3, ["y", "xx"]), "b": (50, None)}
+    assert {r["k"]: r["items"] for r in got if r["k"] != "hot"} == {"a": [1], "b": [1, 2]}
+
+
+def test_blocks_depend_on_their_own_key_and_on_characters(spark, split):
+    rows = [("a", i, "x" * 10) for i in range(25)] + [("b", i, "y" * 100) for i in range(25)]
+    got = {}
+    for others in (0, 40):
+        more = [("A", i, "z") for i in range(others)]
+        df = spark.createDataFrame(rows + more, "k string, i int, v string")
+        found = block_lists(df, "k", ["i"], F.col("v"), 10, max_chars=500).collect()
+        got[others] = sorted((r["k"], r["block"], len(r["items"])) for r in found if r["k"] != "A")
+    assert got[0] == got[40]
+    assert [n for k, _, n in got[0] if k == "a"] == [10, 10, 5] and max(n for k, _, n in got[0] if k == "b") <= 5
+    assert [b for k, b, _ in got[0] if k == "a"] == [0, 1, 2]

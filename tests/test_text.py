@@ -131,3 +131,17 @@ def test_small_helpers(spark):
     assert one(spark, T.mask_secret(F.col("s")), s="abcdef") == "abcdcdef"
     assert one(spark, T.path_safe(F.col("s")), s="a/b/c") == "a_b_c"
     assert one(spark, T.snippet(F.col("s")), s="z" * 600) == "z" * 500
+
+
+@pytest.mark.parametrize("raw, text", [
+    ('a <a title="x>y">c</a> d', "a c d"),
+    ("a <?php echo 1 ?> b", "a b"),
+    ("a <script>var x = 1; b", "a"),
+    ("a <style type='t>u'>p{}</style >b", "a b"),
+    ("a <!-- never closed", "a"),
+    ("a <!DOCTYPE html><p class=x>b</p>", "a b"),
+    ("1 < 2 and 3 > 2", "1 < 2 and 3 > 2"),
+])
+def test_markup_goes_as_a_parser_reads_it(spark, raw, text):
+    df = spark.createDataFrame([(raw,)], "s string")
+    assert df.select(T.html_to_text(F.col("s"))).first()[0] == text
