@@ -418,7 +418,15 @@ def with_run_length(
     """How many rows in a row, up to this one, carry ``flag`` in their group; 0 on rows without it."""
     scan = _run_scan.asNondeterministic()(*_group_hashes(keys), flag.cast("boolean"))
     usual, large = by_group_size(df, keys, census, local_rows)
-    counted = _scanned_locally(usual, keys, order, _run=scan).withColumn(name, F.col("_run.length")).drop("_run")
+    # The run of a row begins after the last row without the flag: two functions of one window.
+    so_far = Window.partitionBy(*keys).orderBy(*order)
+    upto = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = usual.withColumn("_flag", F.coalesce(flag.cast("boolean"), F.lit(False))).withColumn(
+        "_at", F.row_number().over(so_far).cast("long")
+    )
+    broken = F.coalesce(F.max(F.when(~F.col("_flag"), F.col("_at"))).over(upto), F.lit(0))
+    run = F.when(F.col("_flag"), F.col("_at") - broken).otherwise(0).cast("long")
+    counted = numbered.withColumn(name, run).drop("_flag", "_at")
     if large is None:
         return counted
     staged = stage_ordered(large, [*keys, *order], "runs", _run=scan)

@@ -16,6 +16,7 @@ from dictforge.operators import audit, extract, merge, tasks
 from dictforge.operators.ordered import with_global_index
 from dictforge.plans import build
 from dictforge.plans.catalog import query, sql_html, sql_key, sql_normalize, sql_strip, sql_valid, table
+from dictforge.plans.catalog_texts import _SPLIT
 from dictforge.session import scratch_path
 from dictforge.sources import readers, writers
 
@@ -423,3 +424,38 @@ def dictionary_reread(spark: SparkSession, sf: str) -> DataFrame:
     rows = build.meaning_rows(readers.read_dictionary(spark, path), tables["titles"], CFG)
     cite = lambda r: F.concat_ws("|", r["InternalCode"], r["ReferenceCode"], F.coalesce(r["Title"], F.lit("")))
     return rows.select("MeaningId", "word_ord", "text", F.array_join(F.transform("refs", cite), ";").alias("refs"))
+
+
+# Documents as a dictionary of long meanings: each is split, its parts marked, and only its first part keeps relations.
+_LONG_WORD = "CAST(substr(source, 4) AS BIGINT) * 4 + CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 ELSE 3 END"
+LONG_INPUTS = {
+    "words": f"""SELECT DISTINCT {_LONG_WORD} AS WordId, concat(lang, ' ', source) AS WordText, lang AS Language,
+        CAST(NULL AS VARCHAR(9)) AS WordTextAlternate, CAST(NULL AS VARCHAR(9)) AS Syllables FROM documents""",
+    "meanings": f"""SELECT doc_id AS MeaningId, {_LONG_WORD} AS WordId, 1 AS SourceId, text AS MeaningText, '' AS Type, '' AS TypeGender,
+        lang AS Language, CAST(NULL AS INT) AS SeqNo FROM documents""",
+    "sources": """SELECT 1 AS SourceId, 'dict' AS SourceShortText, 'A dictionary' AS SourceLongText, CAST(NULL AS VARCHAR(9)) AS SourceLanguages
+        FROM documents WHERE doc_id = 0""",
+    "extensions": """SELECT doc_id AS MeaningId, 'iwn.ONTOLOGY' AS ExtensionType, concat('class ', lang) AS WordList, source AS Details FROM documents
+        UNION ALL SELECT doc_id, 'iwn.MERO_STUFF_OBJECT', source, NULL FROM documents""",
+}
+_LONG_SPLIT = _SPLIT.replace(sql_strip("text"), sql_strip(sql_html("text"))).replace(
+    "0, text FROM documents JOIN docs USING (doc_id) WHERE", "0, t FROM docs WHERE"
+)
+_LONG_CONTENT = f"""words AS ({LONG_INPUTS["words"]}), extensions AS ({LONG_INPUTS["extensions"]}), {_LONG_SPLIT},
+content AS (SELECT doc_id AS MeaningId, {_LONG_WORD} AS WordId, 'dict' AS source_short, p.text, NULL AS seq_no, 999999 AS seq_sort, ['None'] AS tags,
+    CAST([] AS VARCHAR[]) AS cites, part_index, total_parts, 0 AS emit, '' AS grp, 0 AS pack, 'dict' AS SourceShortText, NULL::BIGINT AS SeqNo, part_ord
+  FROM parts p JOIN (SELECT doc_id, lang, source FROM documents) USING (doc_id) WHERE part_index IS NULL OR p.text <> '')"""
+_LONG_TASKS = _TASKS.replace(_MERGED, _LONG_CONTENT).replace(
+    "JOIN answers a USING (MeaningId) JOIN", "JOIN answers a ON a.MeaningId = u.MeaningId AND u.part_ord = 0 JOIN"
+).replace("SeqNo NULLS FIRST, MeaningId, task_ord", "SeqNo NULLS FIRST, MeaningId, part_ord, task_ord")
+
+
+@query(_with(_LONG_TASKS, """SELECT MeaningId, task, usr_prompt, target, concept_key, concat('<s>[INST] ', usr_prompt, ' [/INST] ', target, ' </s>') AS text
+  FROM firsts"""))
+def build_long_instructions(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole chain over documents as meanings: split, part markers, isolation, relations, first of each concept."""
+    given = table(spark, sf, "documents")
+    tables = {n: spark.sql(q.replace("FROM documents", "FROM {documents}"), documents=given) for n, q in LONG_INPUTS.items()}
+    titles = spark.createDataFrame([], schemas.REFERENCE_TITLES)
+    built = build.build_instructions(tables, titles, labels(spark), RELATED, categories(spark))
+    return built.select("MeaningId", "task", "usr_prompt", "target", "concept_key", "text")
