@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from dictforge.llm import batches
 from dictforge.session import stage
@@ -29,7 +32,7 @@ MAGIC = b"WVM1"
 BLOCK_BITS = 1 << 16
 SHARD_TOKENS = 1 << 22
 # Words whose ids a worker remembers; beyond it forgets them all, which costs time only.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 600_000
 _WORDS_AT_ONCE = 20_000
 
 
@@ -162,36 +165,73 @@ class WaveletMatrix:
 # Encoding
 
 
+# How the word-end tokenizers prepare a text, and the same for plain words (ASCII and Latin-1 letters).
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile(r"[\n\x21-\x7eÀ-ÖØ-öø-ÿ]*")
+_PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, which sees each different word once.
 
     The tokenizers this is for drop white space and never join over it, so the ids of a text are the ids
-    of its parts between ASCII white space, in order. Unknown words are encoded together, a separator
-    token of the vocabulary between them; words that hold the text of a special token go alone.
+    of its parts between ASCII white space, in order. Words of plain characters are cut into their
+    pre-tokens here, and each different pre-token goes to the library's BPE model; all other words go
+    through the whole tokenizer, a separator token of its vocabulary between them, and words that hold
+    the text of a special token go alone. A tokenizer that prepares texts otherwise gets no short way.
     """
 
     def __init__(self, path: str, separator: str = "<|startoftext|>"):
         self.tokenizer = Tokenizer.from_file(path)
         self.separator, self.separator_id = separator, self.tokenizer.token_to_id(separator)
-        specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.specials = specials
+        self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.dtype = np.dtype("<u2" if self.bits <= 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        form = json.loads(self.tokenizer.to_str())
+        splits = (form["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.short_way = (
+            (form["normalizer"] or {}).get("normalizers") == _NORMALIZER
+            and splits[0].get("pattern") == {"Regex": _SPLIT}
+            and [p.get("type") for p in splits] == ["Split", "ByteLevel"]
+        )
+        self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
 
+    def _plain(self, words: list[bytes]) -> None:
+        """Learn words of plain characters: each different pre-token goes to the model once."""
+        split = list(map(_PLAIN_SPLIT.findall, b"\n".join(words).decode().lower().split("\n")))
+        pieces, tokenize = self.pieces, self.tokenizer.model.tokenize
+        code = "H" if self.bits <= 16 else "I"
+        for piece in {p for own in split for p in own if p not in pieces}:
+            shown = piece if piece.isascii() else self.byte_level.pre_tokenize_str(piece)[0][0]
+            pieces[piece] = array(code, [t.id for t in tokenize(shown)]).tobytes()
+        self.known.update(zip(words, (b"".join(map(pieces.__getitem__, own)) for own in split), strict=True))
+
     def _learn(self, words: list[bytes]) -> None:
-        plain = []
-        for word in words:
-            if any(s in word for s in self.specials):
-                self.known[word] = self._ids(word.decode()).tobytes()
-            else:
-                plain.append(word)
+        if not words:
+            return
+        together = b"\n".join(words)
+        alone = [w for w in words if any(s in w for s in self.specials)] if any(s in together for s in self.specials) else []
+        for word in alone:
+            self.known[word] = self._ids(word.decode()).tobytes()
+        others = words
+        if alone:
+            others = [w for w in words if w not in self.known]
+        if self.short_way:
+            plain = others
+            if not _PLAIN.fullmatch(together.decode()):
+                plain = [w for w in others if _PLAIN.fullmatch(w.decode())]
+            if plain:
+                self._plain(plain)
+            others = [w for w in others if w not in self.known] if len(plain) < len(others) else []
         mark = self.separator.encode()
-        for k in range(0, len(plain), _WORDS_AT_ONCE):
-            some = plain[k : k + _WORDS_AT_ONCE]
+        for k in range(0, len(others), _WORDS_AT_ONCE):
+            some = others[k : k + _WORDS_AT_ONCE]
             ids = self._ids(mark.join(some).decode())
             cuts = np.flatnonzero(ids == self.separator_id)
             begins, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
@@ -205,6 +245,7 @@ class WordEncoder:
         missing = {w for words in split for w in words if w not in known}
         if len(known) + len(missing) > KNOWN_WORDS:
             known.clear()
+            self.pieces.clear()
             missing = {w for words in split for w in words}
         self._learn(list(missing))
         return [b"".join(map(known.__getitem__, words)) for words in split]
