@@ -186,7 +186,8 @@ def _in_ranges(docs: DataFrame) -> DataFrame:
         copies.select(F.col("_into").alias("_range"), *names[1:])
     )
     order = ["_range", "_guest", F.desc_nulls_last("doc_id"), F.desc("_hash")]
-    return both.repartition(max(ranges // 2, 1), "_range").sortWithinPartitions(*order)
+    # The range is the partition: hashed, several ranges would meet in one task.
+    return both.repartitionById(ranges + 1, "_range").sortWithinPartitions(*order)
 
 
 def compare_edits(docs: DataFrame, levels: tuple[int, ...] = LEVELS, size: int = SKETCH) -> DataFrame:
