@@ -10,6 +10,7 @@ from dictforge.config import Config
 from dictforge.functions import text as T
 from dictforge.operators import audit, dataset, telemetry
 from dictforge.operators.ordered import with_global_index
+from dictforge.operators.skew import lookup_join
 from dictforge.plans.catalog import query, sql_key, sql_normalize, table
 from dictforge.session import scratch_path
 from dictforge.sources import readers, writers
@@ -80,8 +81,11 @@ def skip_and_blacklist(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_NUMBERED}, {_BAD} SELECT iter, gidx, doc_id, text FROM numbered JOIN bad ON gidx = (iter - 1) * {K}")
 def iteration_record(spark: SparkSession, sf: str) -> DataFrame:
-    found = dataset.iteration_records(_numbered_docs(spark, sf), _blacklist(spark, sf), CFG)
-    return found.select("iter", "gidx", "doc_id", "text")
+    # Keys are numbered; the texts of the few records that are wanted come afterwards.
+    docs, order = table(spark, sf, "documents"), ["lang", "source", "doc_id"]
+    numbered = dataset.indexed(docs.select(*order), order, CFG)
+    found = dataset.iteration_records(numbered, _blacklist(spark, sf), CFG).select("iter", "gidx", "doc_id")
+    return lookup_join(docs.select("doc_id", "text"), found, "doc_id", "inner").select("iter", "gidx", "doc_id", "text")
 
 
 @query(f"""WITH {_NUMBERED}, {_BAD}, kept AS (SELECT count(*) AS kept FROM numbered
@@ -414,9 +418,8 @@ def stream_nan_alert(spark: SparkSession, sf: str) -> DataFrame:
         half = losses.where((F.col("ord") <= middle) if part == 0 else (F.col("ord") > middle))
         writers.write_records(half, folder, "append")
         arriving = jobs.record_stream(spark, folder, "run_id string, ord long, iter long, loss string")
-        alerts = jobs.nan_alerts(arriving.withColumn("loss", F.col("loss").cast("double")), CFG)
-        jobs.run_available(alerts, out, check)
-    return spark.read.schema(jobs.ALERTS).parquet(out).select("run_id", "ord", "nan_run", "rollbacks")
+        jobs.run_nan_alerts(arriving.withColumn("loss", F.col("loss").cast("double")), CFG, out, check)
+    return spark.read.schema(jobs.ALERTS).parquet(f"{out}/alerts").select("run_id", "ord", "nan_run", "rollbacks")
 
 
 @query(f"SELECT DISTINCT {sql_key('lang', 'text')} AS concept_key, lang FROM documents")

@@ -6,15 +6,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
 from dictforge.config import Config
 from dictforge.functions import text as T
+from dictforge.operators.ordered import with_run_length
 from dictforge.operators.skew import SALTS, lookup_join
 from dictforge.operators.telemetry import iteration_rows, parse_lines
 from dictforge.schemas import TRAINING_STATS
+from dictforge.session import stage
+from dictforge.sources.readers import read_or_empty
 from dictforge.sources.writers import append_blacklist, diagnostic_rows
 
 # The words of a diagnostic.
@@ -81,7 +84,8 @@ def nan_alerts(losses: DataFrame, cfg: Config, action: str = "rollback") -> Data
 
     ``losses`` needs run_id, ord, iter and loss. ``action`` is terminate, rollback or rollback-skip;
     a run stops after terminate or after more than ``max_rollbacks`` rollbacks. Within a batch the rows
-    of a run are ordered by ``ord``; the source limits how large a batch is.
+    of a run are ordered by ``ord`` in one task; where a run may be too large for that, use
+    ``run_nan_alerts``.
     """
     threshold, max_rollbacks = cfg.max_nan_threshold, cfg.max_rollbacks
 
@@ -123,6 +127,77 @@ def nan_alerts(losses: DataFrame, cfg: Config, action: str = "rollback") -> Data
     )
 
 
+RUN_STATE = "run_id string, nan_run long, rollbacks long, stopped boolean"
+
+
+def alerts_of_batch(losses: DataFrame, state: DataFrame, cfg: Config, action: str) -> tuple[DataFrame, DataFrame]:
+    """Alerts of one batch and the state of every run after it, for runs of any size.
+
+    The run lengths come from the batch form (``with_run_length``), which spreads a large run over range
+    partitions; what the state carries in concerns only rows before a run's first valid loss. Hits are
+    ranked, and the rank is bounded by ``max_rollbacks``, so few of them pass the exchange.
+    """
+    rows = losses.select(
+        "run_id", F.col("ord").cast("long").alias("ord"), F.col("iter").cast("long").alias("iter"),
+        F.coalesce(F.isnan("loss"), F.lit(False)).alias("is_nan"),
+    )
+    first_valid = rows.where("not is_nan").groupBy("run_id").agg(F.min("ord").alias("_valid"))
+    known = state.join(first_valid, "run_id", "full").select(
+        "run_id", "_valid", F.coalesce("nan_run", F.lit(0)).alias("_carried"),
+        F.coalesce("rollbacks", F.lit(0)).alias("_before"), F.coalesce("stopped", F.lit(False)).alias("_stopped"),
+    )
+    counted = with_run_length(rows, ["run_id"], ["ord"], F.col("is_nan"))
+    joined = lookup_join(counted, known, "run_id", "left", "ord").where(~F.coalesce("_stopped", F.lit(False)))
+    leading = F.col("is_nan") & (F.col("_valid").isNull() | (F.col("ord") < F.col("_valid")))
+    runs = joined.withColumn(
+        "nan_run", F.col("run_length") + F.when(leading, F.coalesce("_carried", F.lit(0))).otherwise(0)
+    ).withColumn("_before", F.coalesce("_before", F.lit(0)))
+    most = 1 if action == "terminate" else cfg.max_rollbacks + 1
+    rank = F.row_number().over(Window.partitionBy("run_id").orderBy("ord"))
+    hits = runs.where(F.col("is_nan") & (F.col("nan_run") % cfg.max_nan_threshold == 0)).withColumn("_rank", rank)
+    hits = hits.where(F.col("_rank") <= most)
+    rollbacks = F.col("_before") + F.col("_rank")
+    last = rollbacks > cfg.max_rollbacks
+    alerts = hits.where(F.lit(action == "terminate") | (rollbacks <= cfg.max_rollbacks + 1)).select(
+        "run_id", "ord", "iter", "nan_run", rollbacks.alias("rollbacks"),
+        F.when(last, "stop").otherwise(action).alias("action"),
+    )
+    ends = runs.groupBy("run_id").agg(F.max_by("nan_run", "ord").alias("_ends"))
+    done = alerts.groupBy("run_id").agg(F.max("rollbacks").alias("_done"), F.max(F.col("action") == "stop").alias("_stop"))
+    ended = F.coalesce("_stop", F.lit(False)) if action != "terminate" else F.col("_done").isNotNull()
+    after = state.join(ends, "run_id", "full").join(done, "run_id", "left").select(
+        "run_id", F.coalesce("_ends", "nan_run").alias("nan_run"),
+        F.coalesce("_done", "rollbacks", F.lit(0)).cast("long").alias("rollbacks"),
+        (F.coalesce("stopped", F.lit(False)) | ended).alias("stopped"),
+    )
+    return alerts, after
+
+
+def run_nan_alerts(losses: DataFrame, cfg: Config, folder: str, checkpoint: str, action: str = "rollback") -> None:
+    """``nan_alerts`` for runs of any size: alerts and state of each batch in folders of their own.
+
+    A batch reads the state of the one before and writes ``alerts/batch=<id>`` and ``state/batch=<id>``
+    anew, so a batch that runs again gives the same. The state is one row per run.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state = read_or_empty(spark, f"{folder}/state/batch={batch_id - 1}", RUN_STATE)
+        staged = stage(batch.select("run_id", "ord", "iter", "loss"), "losses_of_batch")
+        alerts, after = alerts_of_batch(staged, state, cfg, action)
+        alerts.write.mode("overwrite").parquet(f"{folder}/alerts/batch={batch_id}")
+        after.write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
+
+    query = (
+        losses.writeStream.outputMode("append")
+        .foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def write_alerts(
     batch: DataFrame, batch_id: int, records: DataFrame, cfg: Config, folder: str, action: str
 ) -> None:

@@ -1,10 +1,14 @@
 """Streams: progress over several runs, NaN actions, the seen-set."""
 
+import functools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from dictforge import schemas
 from dictforge.config import Config
+from dictforge.operators import ordered
 from dictforge.sources import readers, writers
 from dictforge.streaming import jobs
 
@@ -80,3 +84,32 @@ def test_first_seen(spark, tmp_path, copies):
         records = jobs.concept_stream(jobs.record_stream(spark, folder, "id long, usr_prompt string, target string"))
         jobs.run_available(jobs.first_seen(records, "id"), out, check)
     assert spark.read.schema("target string").parquet(out).count() == 50
+
+
+@pytest.mark.parametrize("action", ["terminate", "rollback"])
+@pytest.mark.parametrize("spread", [False, True])
+def test_batches_of_alerts_equal_a_plain_count(spark, tmp_path, monkeypatch, action, spread):
+    """Runs cut anywhere into batches, usual and spread ones, against a counter."""
+    if spread:
+        monkeypatch.setattr(jobs, "with_run_length", functools.partial(ordered.with_run_length, local_rows=5))
+    rng = random.Random(4)
+    cfg = Config(max_nan_threshold=3, max_rollbacks=2)
+    rows = [(f"r{i % 3}", i, i + 1, float("nan") if rng.random() < 0.8 else 1.0) for i in range(90)]
+    want, counts = [], {}
+    for run, at, step, loss in rows:
+        c = counts.setdefault(run, {"nan": 0, "done": 0, "stopped": False})
+        if c["stopped"]:
+            continue
+        c["nan"] = c["nan"] + 1 if loss != loss else 0
+        if c["nan"] and c["nan"] % 3 == 0:
+            c["done"] += 1
+            c["stopped"] = action == "terminate" or c["done"] > cfg.max_rollbacks
+            want.append((run, at, step, c["nan"], c["done"], "stop" if c["done"] > cfg.max_rollbacks else action))
+    state, found = spark.createDataFrame([], jobs.RUN_STATE), []
+    for begin in (0, 37, 41, 80):
+        end = {0: 37, 37: 41, 41: 80, 80: 90}[begin]
+        batch = spark.createDataFrame(rows[begin:end], "run_id string, ord long, iter long, loss double")
+        alerts, after = jobs.alerts_of_batch(batch, state, cfg, action)
+        found += [tuple(r) for r in alerts.select("run_id", "ord", "iter", "nan_run", "rollbacks", "action").collect()]
+        state = spark.createDataFrame(after.collect(), jobs.RUN_STATE)
+    assert sorted(found) == sorted(want)
