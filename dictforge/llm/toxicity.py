@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from dictforge.llm import batches
@@ -29,7 +29,9 @@ IDENTITY_GROUPS: Mapping[str, Sequence[str]] = {
 SAMPLE_ROWS = 20_000
 # Words it weighs at most, the strongest by log-likelihood ratio; identity terms come first.
 MAX_FEATURES = 400
+# A feature occurs in so many of the sampled rows at least, and in this share of them.
 MIN_ROWS_OF_WORD = 4
+MIN_SHARE_OF_ROWS = 0.003
 MIN_RATIO = 12.0
 THRESHOLD = 0.7
 
@@ -78,17 +80,18 @@ def swapped(words: set[str], groups: Mapping[str, Sequence[str]], shift: int) ->
     return out
 
 
-def _newton(x: np.ndarray, y: np.ndarray, d: np.ndarray, penalty: float, ridge: float) -> np.ndarray:
-    """Weights (the last is the bias) that minimise log loss + ridge + ``penalty`` * mean((d @ w)**2) / 2."""
+def _newton(
+    x: np.ndarray, y: np.ndarray, d: np.ndarray, penalty: float, ridge: float, centre: np.ndarray
+) -> np.ndarray:
+    """Weights (the last is the bias) that minimise log loss + pull to ``centre`` + ``penalty`` * mean((d @ w)**2) / 2."""
     n, f = x.shape
-    quadratic = np.diag(np.append(np.full(f - 1, ridge), 1e-9))
-    if len(d):
-        quadratic += penalty * (d.T @ d) / len(d)
+    pull = np.append(np.full(f - 1, ridge), 1e-9)
+    swaps = penalty * (d.T @ d) / len(d) if len(d) else np.zeros((f, f))
     w = np.zeros(f)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) / n + quadratic @ w
-        hessian = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x / n + quadratic
+        gradient = x.T @ (p - y) / n + pull * (w - centre) + swaps @ w
+        hessian = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x / n + np.diag(pull) + swaps
         step = np.linalg.solve(hessian, gradient)
         size = np.abs(step).max()
         w -= step * min(1.0, 2.0 / max(size, 1e-12))
@@ -111,7 +114,9 @@ def fit(
 
     At most ``sample_rows`` labelled doc_ids are used, those with the smallest hash; their ids are
     broadcast, so no text is shuffled. Each sampled row that names a group is also taken with its terms
-    swapped, and the squared change of its logit is added to the loss, times ``penalty``. Of several
+    swapped, and the squared change of its logit is added to the loss, times ``penalty``. The ridge pulls
+    a weight to the log-odds of its feature alone (of what identity terms give: to 0), so one strong
+    word is evidence even if the words it was learnt from came several to a text. Of several
     labels of one doc_id the largest counts; null labels, ids and texts (empty) are no error. Without
     rows, or without both labels, the model scores every text alike.
     """
@@ -153,9 +158,11 @@ def fit(
 
     ratio = 2 * (part(a, rate) + part(b, 1 - rate))
     is_term = F.col("word").isin(sorted(terms))
-    strong = counts.where((F.col("rows") >= MIN_ROWS_OF_WORD) & ((ratio >= MIN_RATIO) | is_term))
+    least = max(MIN_ROWS_OF_WORD, MIN_SHARE_OF_ROWS * n)
+    strong = counts.where((F.col("rows") >= least) & ((ratio >= MIN_RATIO) | is_term))
     order = [F.desc(is_term.cast("int")), F.desc(ratio), F.asc("word")]
-    strongest = [row["word"] for row in strong.orderBy(*order).limit(max_features).collect()] if 0 < positives < n else []
+    chosen = strong.orderBy(*order).limit(max_features).collect() if 0 < positives < n else []
+    strongest = [row["word"] for row in chosen]
     if not strongest:
         return Model(base, {})
     place = {word: i for i, word in enumerate(strongest)}
@@ -191,7 +198,14 @@ def fit(
     if differences:
         distinct, times = np.unique(np.array(differences, np.int8), axis=0, return_counts=True)
         d = distinct * np.sqrt(times / times.mean())[:, None]
-    w = _newton(x, table["toxic"].to_numpy(np.float32), d, penalty, ridge)
+    neutral = set().union(*[features_of({t}) for t in terms]) if terms else set()
+
+    def odds(row: Row) -> float:
+        seen, toxic = row["rows"], row["toxic"]
+        return float(np.log((toxic + 0.5) / (positives + 1)) - np.log((seen - toxic + 0.5) / (n - positives + 1)))
+
+    centre = np.array([0.0 if row["word"] in neutral else odds(row) for row in chosen] + [0.0])
+    w = _newton(x, table["toxic"].to_numpy(np.float32), d, penalty, ridge, centre)
     return Model(float(w[-1]), dict(zip(strongest, map(float, w[:-1]), strict=True)))
 
 
