@@ -75,7 +75,7 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
         raise ValueError("the radius must be even")
     # A fingerprint is 8 bytes but 65 variants: spread by number, or adaptive execution packs them into a few tasks.
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = prints.select("fp").distinct().repartition(parts, "fp").select("fp", F.explode(ball("fp", radius // 2)).alias("variant"))
+    spread = prints.select("fp").distinct().repartition(parts).select("fp", F.explode(ball("fp", radius // 2)).alias("variant"))
     met = spread.groupBy("variant").agg(F.sort_array(F.collect_list("fp")).alias("fps")).where(F.size("fps") > 1)
     stars = met.select(F.element_at("fps", 1).alias("a"), F.explode(F.slice("fps", 2, BITS**2)).alias("b"))
     return stars.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).distinct()
