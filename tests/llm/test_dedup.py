@@ -140,3 +140,43 @@ def test_units_of_small_texts(texts):
     units = substring_dedup.Units(texts)
     words = [texts[t][s:e] for t, s, e in zip(units.text, units.start, units.end)]
     assert " ".join(words).split() == " ".join(texts).split()
+
+
+def plain_cuts(rows, run=20, line=5):
+    """Words to cut by plain search: each run and each whole line that stands earlier, by document and place."""
+    runs, whole, out = set(), set(), {}
+    for doc_id, text in rows:
+        words, cut, at = text.lower().split(), set(), 0
+        places = {}
+        for k in range(len(words) - run + 1):
+            gram = tuple(words[k : k + run])
+            if gram in runs:
+                cut.update(range(k, k + run))
+            elif gram in places:
+                cut.update(range(max(k, places[gram] + run), k + run))
+            places.setdefault(gram, k)
+        runs.update(places)
+        for part in text.split("\n"):
+            own = tuple(part.lower().split())
+            if line <= len(own) < run:
+                if own in whole:
+                    cut.update(range(at, at + len(own)))
+                whole.add(own)
+            at += len(own)
+        out[doc_id] = [w for k, w in enumerate(text.split()) if k not in cut]
+    return out
+
+
+def test_every_passage_of_51_words_goes_whole(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    rows = []
+    for k in range(400):
+        # Every third passage is made of few words, so that most of them or none would be a cut.
+        few = [word() for _ in range(12)]
+        passage = " ".join(rng.choice(few) if k % 3 == 0 else word() for _ in range(51))
+        rows += [(2 * k, f"{word()} {passage} {word()}"), (2 * k + 1, f"{word()} {word()} {passage} {word()}")]
+    found = {r["doc_id"]: r["text"].split() for r in cleaned(spark, rows)}
+    assert all(found[i] == text.split() for i, text in rows if i % 2 == 0)
+    assert all(found[i] == [*text.split()[:2], text.split()[-1]] for i, text in rows if i % 2)
+    assert found == plain_cuts(rows)
