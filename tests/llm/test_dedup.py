@@ -180,3 +180,17 @@ def test_every_passage_of_51_words_goes_whole(spark):
     assert all(found[i] == text.split() for i, text in rows if i % 2 == 0)
     assert all(found[i] == [*text.split()[:2], text.split()[-1]] for i, text in rows if i % 2)
     assert found == plain_cuts(rows)
+
+
+def test_only_text_that_repeats_in_order_goes(spark):
+    rng = random.Random(6)
+    parts = [" ".join(rng.choices("abcdefghij", k=3)) for _ in range(60)]
+    rows = [(k, "\n".join(" ".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(4))) for k in range(300)]
+    # All parts of these lines are known, each from elsewhere.
+    rows += [(k, " ".join(rng.sample(parts, 2 + k % 12))) for k in range(300, 500)]
+    found = {r["doc_id"]: r["text"].split() for r in cleaned(spark, rows)}
+    assert found == plain_cuts(rows)
+    whole = [tuple(text.split()) for _, text in rows[300:]]
+    once = [k for k, text in rows[300:] if whole.count(tuple(text.split())) == 1 and len(text.split()) < 20]
+    lines = {tuple(part.split()) for _, text in rows[:300] for part in text.split("\n")}
+    assert all(found[k] == dict(rows)[k].split() for k in once if tuple(dict(rows)[k].split()) not in lines) and len(once) > 50
