@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dictforge.llm import bpe, chat, edit_counts, mixing, neighbours, parsing, simhash, substring_dedup, toxicity, wavelet
+from dictforge.llm import bpe, chat, edit_counts, lm_scoring, mixing, neighbours, parsing, simhash, substring_dedup, toxicity, wavelet
 from dictforge.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from dictforge.session import scratch_path
 
@@ -149,3 +149,8 @@ def op4_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     edits = docs.select("doc_id", F.inline(changes))
     return edit_counts.count_edits(docs, edits, RANKS, PATTERN)
+
+
+@query()
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents"), RANKS, PATTERN)
