@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Characters handled at once by the array code, so that its arrays stay in cache. A longer text is a slice of its own.
 SLICE_CHARS = 250_000
@@ -74,3 +75,27 @@ def columns_batch(schema: pa.Schema, *columns: object) -> pa.RecordBatch:
 def with_batches(df: DataFrame) -> DataFrame:
     small_batches(df.sparkSession)
     return df
+
+
+def summed(df: DataFrame, column: str, dtype: str, width: int, places: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """How often each of ``width`` places occurs over all rows; ``places`` gives those of one row's binary ``column``.
+
+    A task sends each place once, and ``width`` bounds what comes to the driver.
+    """
+    schema = pa.schema([("place", pa.int32()), ("n", pa.int64())])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width, np.int64)
+        for batch in parts:
+            for raw in batch.column(0).to_pylist():
+                found, n = np.unique(places(np.frombuffer(raw, dtype).astype(np.int64)), return_counts=True)
+                total[found] += n
+        used = np.flatnonzero(total)
+        for i in range(0, len(used), 1 << 16):
+            part = used[i : i + (1 << 16)]
+            yield columns_batch(schema, part.astype(np.int32), total[part])
+
+    sums = df.select(column).mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(width, np.int64)
+    out[sums["place"].to_numpy()] = sums["n"].to_numpy()
+    return out

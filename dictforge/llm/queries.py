@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dictforge.llm import bpe, chat, edit_counts, lm_scoring, mixing, neighbours, parsing, simhash, substring_dedup, toxicity, wavelet
+from dictforge.llm import alignment, bpe, chat, edit_counts, lm_scoring, mixing, neighbours, parsing, simhash, spelling, substring_dedup, toxicity, wavelet
 from dictforge.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from dictforge.session import scratch_path
 
@@ -154,3 +154,55 @@ def op4_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(table(spark, sf_dir, "documents"), RANKS, PATTERN)
+
+
+@query()
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.weigh_links(table(spark, sf_dir, "documents"), *paths)
+
+
+# The counterpart takes near words from the words without one code point, and the crc32 bit by bit.
+OP13_SQL = r"""
+WITH RECURSIVE
+t AS (
+  SELECT list(list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b:
+    CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+long_runs AS (
+  SELECT run, count(*) AS times, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS bytes
+  FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce([4294967295] || list_transform(range(length(bytes) // 2), lambda k:
+      ('0x' || substr(bytes, 2 * k + 1, 2))::BIGINT), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h
+  FROM long_runs, t),
+found AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    times FROM hashed),
+w AS (SELECT word, sum(times)::BIGINT AS n FROM found WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+d AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (
+  SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM d a JOIN d b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT DISTINCT d.word, w.word, w.n FROM d JOIN w ON d.rest = w.word
+  UNION SELECT DISTINCT w.word, d.word, d.n FROM d JOIN w ON d.rest = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n
+  FROM near GROUP BY word),
+formed AS (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b.form_n >= 5 * n THEN b.form END AS form,
+    CASE WHEN b.form_n >= 5 * n THEN b.form_n END AS form_n
+  FROM w LEFT JOIN best b USING (word)),
+chain AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON c.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.at AS root
+FROM formed f JOIN chain c USING (word) JOIN formed l ON l.word = c.at WHERE l.form IS NULL
+"""
+
+
+@query(OP13_SQL)
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
