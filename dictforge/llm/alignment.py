@@ -5,19 +5,24 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from dictforge.llm import batches
+from dictforge.llm.bpe import encoding
 from dictforge.session import stage
 
+# Texts of letters and signs that have been in Unicode from early on.
+_COMMON = re.compile("[\x00-\u024f\u2010-\u2027\u20ac]*")
 # Separators after an id in the text form of groups, by number.
 _AFTER = (",", "|", ";", "")
 
@@ -45,15 +50,30 @@ class Pair:
     sizes_b: np.ndarray
     codes: np.ndarray
     names: pa.Array
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    ranks: tiktoken.Encoding | None
+
+    def encode(self, texts: list[str]) -> tuple[list, list]:
+        """The ids of both for each text; where the ranks are at hand they encode the texts of common letters."""
+        ids_a: list = [None] * len(texts)
+        rest = []
+        for i, text in enumerate(texts):
+            if self.ranks and _COMMON.fullmatch(text):
+                ids_a[i] = self.ranks.encode_to_numpy(" " + text)
+            else:
+                rest.append(i)
+        encoded = self.a.encode_batch_fast([" " + texts[i] for i in rest], add_special_tokens=False)
+        for i, found in zip(rest, encoded):
+            ids_a[i] = found.ids
         return ids_a, self.b.encode(texts, num_threads=1)
 
 
 @functools.cache
-def load(path_a: str, path_b: str) -> Pair:
-    """One pair per worker; the paths are those of files every executor has."""
+def load(path_a: str, path_b: str, ranks_a: str | None = None, pattern: str | None = None) -> Pair:
+    """One pair per worker; the paths are those of files every executor has.
+
+    ``ranks_a`` and ``pattern`` may name the vocabulary of A once more, as ranks, for a library that encodes faster and,
+    for letters whose classes no version of Unicode has changed, alike.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     a = Tokenizer.from_file(path_a)
     a.encode_special_tokens = True
@@ -79,6 +99,7 @@ def load(path_a: str, path_b: str) -> Pair:
         a, b, pa.array(tokens_a, pa.binary()), pa.array(tokens_b, pa.binary()),
         np.array([len(t) for t in tokens_a]), np.array([len(t) for t in tokens_b]),
         np.unique(np.array(codes, np.int64)), pa.array(names, pa.binary()),
+        encoding(ranks_a, pattern) if ranks_a and pattern else None,
     )
 
 
@@ -159,7 +180,7 @@ def aligned(texts: list[str], pair: Pair) -> Aligned:
     """Align texts; one whose tokens of either kind do not join to a space and itself has no tokens."""
     lists_a, lists_b = pair.encode(texts)
 
-    def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    def flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(x) for x in lists], np.int64)
         return np.concatenate([np.array(x, np.int64) for x in lists]) if lists else np.empty(0, np.int64), sizes
 
@@ -185,7 +206,9 @@ def aligned(texts: list[str], pair: Pair) -> Aligned:
     return Aligned(ids_a, ids_b, cut_a, cut_b, n_a, n_b, last)
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, groups: bool = False) -> DataFrame:
+def align(
+    docs: DataFrame, path_a: str, path_b: str, ranks_a: str | None = None, pattern: str | None = None, groups: bool = False
+) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): token, group and link numbers, the digest of the groups, and ``pairs``.
 
     A are the tokens of a space and the text, B those of the text, whose tokenizer adds the space. ``pairs`` holds the
@@ -200,7 +223,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, groups: bool = False) -> Da
     schema = pa.schema([*fields, *([("groups", listed)] if groups else [])])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = load(path_a, path_b)
+        pair = load(path_a, path_b, ranks_a, pattern)
         for batch, texts in batches.sliced(parts):
             found = aligned(texts, pair)
             written, ends = found.written(pair)
@@ -246,13 +269,15 @@ def link_counts(rows: DataFrame, path_a: str, path_b: str) -> tuple[np.ndarray,
     return counts, counts == most[of_b]
 
 
-def weigh_links(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def weigh_links(
+    docs: DataFrame, path_a: str, path_b: str, ranks_a: str | None = None, pattern: str | None = None
+) -> DataFrame:
     """``align`` with ``n_best`` and ``count_sum``: links whose pair is the most frequent of its B id, counts over links.
 
     The rows are written once, so each text is encoded once; what a pair counts is then looked up in a table of
     bounded size. Repeated rows stay repeated and count each; an empty table gives an empty result.
     """
-    rows = stage(align(docs, path_a, path_b), "aligned")
+    rows = stage(align(docs, path_a, path_b, ranks_a, pattern), "aligned")
     counts, best = link_counts(rows, path_a, path_b)
     schema = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
                         ("n_links", pa.int64()), ("n_best", pa.int64()), ("count_sum", pa.int64()),

@@ -159,7 +159,7 @@ def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    return alignment.weigh_links(table(spark, sf_dir, "documents"), *paths)
+    return alignment.weigh_links(table(spark, sf_dir, "documents"), *paths, RANKS, PATTERN)
 
 
 # The counterpart takes near words from the words without one code point, and the crc32 bit by bit.
