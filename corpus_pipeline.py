@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dictforge.llm import bpe, mixing, near_copies, substring_dedup, toxicity
+from dictforge.llm import bpe, mixing, simhash, substring_dedup, toxicity
 from dictforge.session import stage
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -19,8 +19,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each group of documents linked by five-word similarities of 0.8 or more."""
-    return near_copies.one_of_each(docs)
+    """Keep the smallest doc_id of each group of documents whose fingerprints link at two or fewer bits."""
+    return simhash.one_of_each(docs)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
