@@ -155,12 +155,15 @@ def mixed(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), budget: float = 1
     The goals (one row per source) are joined; the texts are not shuffled for it while they fit a broadcast.
     """
     goals = _goals(sizes(docs), weights, budget, repeats)
-    own = F.col("source").cast("string").eqNullSafe(F.col("_own"))
-    placed = docs.withColumn("_place", _place()).withColumn("_size", _size())
+    # The row travels as one column, so its names meet no others.
+    placed = docs.select(
+        F.struct("*").alias("_row"), F.col("source").cast("string").alias("_source"), _place().alias("_place"), _size().alias("_size")
+    )
+    own = F.col("_source").eqNullSafe(F.col("_own"))
     goals = goals.select("_own", "rounds", "below")
     taken = placed.join(goals, own).withColumn("_copies", F.when(F.col("_size") == 0, 1).otherwise(_copies("_place")))
     each = F.array_repeat(F.lit(1), F.col("_copies").cast("int"))
-    return taken.where("_copies > 0").withColumn("_copy", F.explode(each)).select(*docs.columns)
+    return taken.where("_copies > 0").withColumn("_copy", F.explode(each)).select("_row.*")
 
 
 def _goals(rows: DataFrame, weights: Sequence[int], budget: float, repeats: float) -> DataFrame:

@@ -104,8 +104,9 @@ def one_of_each(docs: DataFrame, radius: int = 2, shingle_words: int = SHINGLE_W
 
     Of repeated rows of that doc_id one stays. Rows without a doc_id stay unless their group has one.
     """
-    columns = docs.columns
     groups = near_groups(docs, radius, shingle_words)
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    found = docs.join(kept.withColumnRenamed("doc_id", "_kept_id"), F.col("doc_id").eqNullSafe(F.col("_kept_id")))
-    return found.dropDuplicates(["_kept_id"]).select(*columns)
+    # The row travels as one column, so its names meet no others.
+    rows = docs.select(F.col("doc_id").cast("long").alias("_own_id"), F.struct("*").alias("_row"))
+    found = rows.join(kept.withColumnRenamed("doc_id", "_kept_id"), F.col("_own_id").eqNullSafe(F.col("_kept_id")))
+    return found.dropDuplicates(["_kept_id"]).select("_row.*")

@@ -181,7 +181,9 @@ def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int
     none is missed. A frequent unit is counted before it is shuffled, and the join that tells documents of it
     has one row per digest on its other side.
     """
-    columns = docs.columns
+    # Columns go by their place while others stand beside them, so their names meet none.
+    names, types = docs.columns, [f.dataType.simpleString() for f in docs.schema.fields]
+    columns, text_column = [f"c{i}" for i in range(len(names))], f"c{names.index('text')}"
     # What a doc_id repeats depends on no text; the part only keeps the lists of one doc_id short.
     hashed = F.xxhash64(F.col("doc_id"), F.col("text"))
     key = [
@@ -226,13 +228,13 @@ def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int
     listed = repeats.groupBy(F.col("_id").alias("_rid"), F.col("_part").alias("_rpart")).agg(
         F.collect_set("digest").alias("_repeats")
     )
-    keyed = docs.select("*", *key[1:])
+    keyed = docs.select(*[docs[n].alias(c) for n, c in zip(names, columns)], *key[1:])
     same = F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_part") == F.col("_rpart"))
     joined = keyed.join(listed, same, "left").drop("_id", "_part", "_rid", "_rpart")
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in batches.sliced(parts):
-            units, nulls = Units(texts, run_words, line_words), batch.column("text").is_null().to_pylist()
+        for batch, texts in batches.sliced(parts, text_column):
+            units, nulls = Units(texts, run_words, line_words), batch.column(text_column).is_null().to_pylist()
             bounds = np.searchsorted(units.text, np.arange(len(texts) + 1))
             cleaned, removed = [], []
             for i, (text, own) in enumerate(zip(texts, batch.column("_repeats").to_pylist(), strict=True)):
@@ -248,11 +250,12 @@ def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int
                     at = end
                 cleaned.append(None if nulls[i] else "".join([*kept, text[at:]]))
                 removed.append([{"start": s, "end": e} for s, e in gone])
-            kept_columns = [batch.column(c) if c != "text" else pa.array(cleaned, pa.string()) for c in columns]
+            kept_columns = [batch.column(c) if c != text_column else pa.array(cleaned, pa.string()) for c in columns]
             spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [*kept_columns, pa.array(removed, spans_type)], names=[*columns, "_removed"]
             )
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return joined.mapInArrow(cut, ", ".join([*fields, "_removed array<struct<start:int,end:int>>"]))
+    fields = [f"{c} {kind}" for c, kind in zip(columns, types)]
+    found = joined.mapInArrow(cut, ", ".join([*fields, "_removed array<struct<start:int,end:int>>"]))
+    return found.toDF(*names, "_removed")

@@ -240,5 +240,6 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
     batches.small_batches(docs.sparkSession)
-    scored = docs.withColumn("_score_", score(model, F.col("text")))
-    return scored.where(F.col("_score_") < model.threshold).drop("_score_")
+    # The row travels as one column, so its names meet no others.
+    scored = docs.select(F.struct("*").alias("_row"), score(model, F.col("text")).alias("_score"))
+    return scored.where(F.col("_score") < model.threshold).select("_row.*")

@@ -8,6 +8,8 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from dictforge.llm import bpe, mixing, queries, simhash, substring_dedup, toxicity
 from tests.compare import difference
 
@@ -90,3 +92,16 @@ def test_stages(spark):
     assert all(np.frombuffer(r["ids"], "<u4").tolist() == encoder.encode_ordinary(texts[r["doc_id"]]) for r in ids)
     run = corpus_pipeline.run(spark, SF_DIR).collect()
     assert Counter((r["doc_id"], bytes(r["ids"])) for r in run) == Counter((r["doc_id"], bytes(r["ids"])) for r in ids)
+
+
+def test_clashing_columns_pass_through_every_stage(spark):
+    """Columns named like those that operators put beside a row, with their values, come out of all stages as they were."""
+    names = ["_id", "_key", "_part", "_rid", "_rpart", "_repeats", "_kept_id", "_own_id", "_row", "_score", "_score_", "_size", "_place",
+             "_source", "_own", "_copies", "_copy", "rounds", "below", "size", "target", "copies", "fp", "component_id", "digest", "c0", "c1"]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    more = docs.select("*", *[F.concat(F.lit(f"{n}-"), "doc_id").alias(n) for n in names])
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        got = step(spark, more, SF_DIR)
+        assert got.columns == more.columns, name
+        rows = got.collect()
+        assert rows and all(r[n] == f"{n}-{r['doc_id']}" for r in rows for n in names), name
