@@ -9,6 +9,7 @@ from dictforge import schemas
 from dictforge.config import Config
 from dictforge.functions import text as T
 from dictforge.operators.skew import block_lists, fits_broadcast, lookup_join, salted_join
+from dictforge.sources.buckets import Bucketed
 
 # Titles beyond this many are joined instead of looked up in a map inside the row.
 MAP_ROWS = 5_000
@@ -140,18 +141,21 @@ def extension_flags(extensions: DataFrame) -> DataFrame:
 
 def extension_lists(extensions: DataFrame, cfg: Config) -> DataFrame:
     """Extensions per meaning, ordered; very large lists continue over several rows."""
-    value = F.struct("ExtensionType", "WordList", "Details")
+    names = ["ExtensionType", "WordList", "Details"]
+    chars = sum((F.coalesce(F.length(name), F.lit(0)) for name in names), F.lit(0))
     return block_lists(
-        extensions, "MeaningId", ["ExtensionType", "WordList", "Details"], value, cfg.items_per_row,
-        max_chars=cfg.chars_per_row,
+        extensions, "MeaningId", names, F.struct(*names), cfg.items_per_row, max_chars=cfg.chars_per_row, chars=chars
     )
 
 
 def link_lists(links: DataFrame, cfg: Config) -> DataFrame:
     """Cleaned links per meaning, lists of blanks dropped."""
-    cleaned = links.select("MeaningId", T.clean_word_list(F.col("WordList")).alias("WordList"))
-    cleaned = cleaned.where(F.col("WordList").isNotNull())
-    return block_lists(cleaned, "MeaningId", ["WordList"], F.struct("WordList"), cfg.items_per_row, max_chars=cfg.chars_per_row)
+    some = links.where(T.has_list_items(F.col("WordList")))
+    cleaned = some.select("MeaningId", T.clean_word_list(F.col("WordList")).alias("WordList"))
+    return block_lists(
+        cleaned, "MeaningId", ["WordList"], F.struct("WordList"), cfg.items_per_row, max_chars=cfg.chars_per_row,
+        chars=F.length("WordList"),
+    )
 
 
 def first_and_more(lists: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -168,6 +172,12 @@ def attach_lists(rows: DataFrame, ext: DataFrame, links: DataFrame) -> tuple[Dat
     return attached, more_ext.unionByName(more_links, allowMissingColumns=True)
 
 
+def attach_bucketed(tables: dict[str, Bucketed], part: str, cfg: Config) -> tuple[DataFrame, DataFrame]:
+    """``attach_lists`` over one part, ``usual`` or ``hot``, of tables bucketed by meaning."""
+    meanings, extensions, links = (getattr(tables[n], part) for n in ("meanings", "extensions", "extension_links"))
+    return attach_lists(meanings, extension_lists(extensions, cfg), link_lists(links, cfg))
+
+
 def content_item() -> Column:
     """The nested form of one meaning; fields that do not apply are null and left out when written."""
     return F.struct(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dictforge.operators import ordered
@@ -10,6 +10,8 @@ from dictforge.operators import ordered
 SALTS = 32
 MAX_HOT_KEYS = 64
 MIN_HOT_ROWS = 200_000
+# Keys that the sketch of frequent keys follows; a key with a smaller share than about 4 / HOT_TRACKED may be missed.
+HOT_TRACKED = 16_384
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -17,14 +19,15 @@ _SALT = "_salt"
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> list:
-    """The at most ``MAX_HOT_KEYS`` most frequent keys above ``min_rows``.
+    """The at most ``MAX_HOT_KEYS`` most frequent keys from about ``min_rows`` rows on, by a sketch.
 
-    Counting combines before its shuffle. The list only decides which rows are salted, never the
-    result; keys it leaves out are within the reach of adaptive skew-join splitting.
+    Each task sends one sketch of ``HOT_TRACKED`` keys, whatever the number of keys, and only this column is
+    read. The list decides which rows are spread, never the result; a key that the sketch misses holds too small a
+    share of the rows to outweigh a partition, or is within the reach of adaptive skew-join splitting.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    top = counts.where(F.col("n") >= min_rows).orderBy(F.desc("n")).limit(MAX_HOT_KEYS)
-    return [row[0] for row in top.collect()]
+    top = F.expr(f"approx_top_k(_key, {MAX_HOT_KEYS + 1}, {HOT_TRACKED})")
+    found = df.select(F.col(key).alias("_key")).agg(top.alias("top")).first()["top"] or []
+    return [item for item, n in found if item is not None and n >= min_rows][:MAX_HOT_KEYS]
 
 
 def salted_join(
@@ -84,36 +87,45 @@ def lookup_join(
 
 def block_lists(
     df: DataFrame, key: str, order: list[str], value: Column, per_row: int, name: str = "items",
-    max_chars: int | None = None,
+    max_chars: int | None = None, chars: Column | None = None, min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Collect every item of each key, at most ``per_row`` in one row, in rows numbered by ``block`` from 0.
 
-    A key with more items, or with more than ``max_chars`` characters in them, continues over several
-    rows: its items are placed by a distributed sort and cut by their position inside the key, so the
+    A key with more items, or with more than ``max_chars`` characters in them (``chars`` of an item; by default those of
+    its JSON), continues over several rows: its items are cut by their position inside the key, so the
     blocks of a key depend on its own items only. Rows of a key that is cut by characters hold so many
-    items that their mean comes to ``max_chars``.
+    items that their mean comes to ``max_chars``. The rows pass one exchange by key, are sorted and cut where they
+    lie, and gathered by key and block without another; what a sort holds spills. Keys of
+    ``min_hot_rows`` items and more are placed by a distributed sort instead.
     """
-    valued = df.select(key, *order, value.alias("_value"))
-    chars = F.sum(F.length(F.to_json(F.struct("_value")))) if max_chars else F.lit(0)
-    sizes = valued.groupBy(key).agg(F.count("*").alias("_n"), chars.alias("_chars"))
+    size = F.lit(0) if not max_chars else F.length(F.to_json(F.struct(value.alias("v")))) if chars is None else chars
+    valued = df.select(key, *order, value.alias("_value"), size.cast("long").alias("_chars"))
     fitting = F.lit(per_row)
     if max_chars:
-        fitting = F.least(fitting, F.greatest(F.lit(1), F.floor(F.col("_n") * max_chars / F.greatest("_chars", F.lit(1)))))
-    beyond = sizes.withColumn("_per", fitting.cast("long")).where("_n > _per").select(key, "_per")
+        fitting = F.least(fitting, F.greatest(F.lit(1), F.floor(F.col("_n") * max_chars / F.greatest("_all", F.lit(1)))))
+    per = fitting.cast("long")
 
-    def gather(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(
+    def gather(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key, "block").agg(
             F.transform(
                 F.array_sort(F.collect_list(F.struct(*order, F.col("_value")))), lambda x: x["_value"]
             ).alias(name)
-        )
-
-    if beyond.isEmpty():
-        return gather(valued, key).withColumn("block", F.lit(0).cast("long"))
-    usual = gather(lookup_join(valued, beyond.select(key), key, "left_anti"), key)
-    large = ordered.with_global_index(lookup_join(valued, beyond.select(key), key, "left_semi"), [key, *order], "_pos")
-    # One row per large key: where it begins among them and how many items a row of it takes.
-    starts = large.groupBy(key).agg(F.min("_pos").alias("_start")).join(beyond, key)
-    placed = lookup_join(large, starts, key, "inner")
-    blocks = gather(placed.withColumn("block", F.expr("(_pos - _start) div _per")), key, "block")
-    return usual.withColumn("block", F.lit(0).cast("long")).unionByName(blocks)
+        ).select(key, name, "block")
+
+    hot = hot_keys(df, key, min_hot_rows)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
+    own = Window.partitionBy(key)
+    placed = valued.where(~is_hot).withColumns({
+        "_pos": F.row_number().over(own.orderBy(*order)) - 1,
+        "_n": F.count("*").over(own), "_all": F.sum("_chars").over(own),
+    })
+    usual = gather(placed.withColumn("block", F.floor(F.col("_pos") / per).cast("long")))
+    if not hot:
+        return usual
+    large = ordered.with_global_index(valued.where(is_hot), [key, *order], "_pos")
+    # At most MAX_HOT_KEYS rows: where each begins among them and how many items a row of it takes.
+    starts = large.groupBy(key).agg(
+        F.min("_pos").alias("_start"), F.count("*").alias("_n"), F.sum("_chars").alias("_all")
+    ).select(key, "_start", per.alias("_per"))
+    blocks = large.join(F.broadcast(starts), key).withColumn("block", F.expr("(_pos - _start) div _per"))
+    return usual.unionByName(gather(blocks))

@@ -18,7 +18,7 @@ from dictforge.plans import build
 from dictforge.plans.catalog import query, sql_html, sql_key, sql_normalize, sql_strip, sql_valid, table
 from dictforge.plans.catalog_texts import _SPLIT
 from dictforge.session import scratch_path
-from dictforge.sources import readers, writers
+from dictforge.sources import buckets, readers, writers
 
 CFG = Config()
 RELATED = Config(relation_tasks=True)
@@ -252,6 +252,20 @@ def collect_links(spark: SparkSession, sf: str) -> DataFrame:
     return lists.select("MeaningId", F.array_join(F.transform("items", lambda x: x["WordList"]), ";").alias("items"))
 
 
+@query(_with(_INPUT_CTES, f"""SELECT m.MeaningId, coalesce(x.items, '-') AS extensions, coalesce(k.items, '-') AS links FROM meanings m
+  LEFT JOIN (SELECT MeaningId, string_agg(concat(ExtensionType, '=', WordList), ',' ORDER BY ExtensionType, WordList) AS items FROM extensions GROUP BY 1) x USING (MeaningId)
+  LEFT JOIN (SELECT MeaningId, string_agg(w, ';' ORDER BY w) AS items FROM (SELECT MeaningId, {_CLEAN_LIST} AS w FROM extension_links) WHERE w <> '' GROUP BY 1) k USING (MeaningId)"""))
+def bucketed_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Meanings with their lists, from tables bucketed by meaning: the lists and joins need no exchange."""
+    laid_out = buckets.bucketed_dictionary(dictionary(spark, sf))
+    parts = [extract.attach_bucketed(laid_out, part, CFG)[0] for part in ("usual", "hot")]
+    extensions = F.transform("Extensions", lambda e: F.concat_ws("=", e["ExtensionType"], e["WordList"]))
+    return parts[0].unionByName(parts[1]).select(
+        "MeaningId", F.coalesce(F.array_join(extensions, ","), F.lit("-")).alias("extensions"),
+        F.coalesce(F.array_join(F.transform("ExtensionLinks", lambda x: x["WordList"]), ";"), F.lit("-")).alias("links"),
+    )
+
+
 @query(f"""SELECT p_partkey, {_CLEAN_LIST} AS words FROM (SELECT p_partkey,
   concat(p_name, '| ', p_type, ' ,, ', p_brand, '|') AS WordList FROM part)""")
 def clean_word_list(spark: SparkSession, sf: str) -> DataFrame:

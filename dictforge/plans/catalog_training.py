@@ -13,7 +13,7 @@ from dictforge.operators.ordered import with_global_index
 from dictforge.operators.skew import lookup_join
 from dictforge.plans.catalog import query, sql_key, sql_normalize, table
 from dictforge.session import scratch_path
-from dictforge.sources import readers, writers
+from dictforge.sources import manifest, positions, readers, writers
 from dictforge.streaming import jobs
 
 CFG = Config(words_per_chunk=300, batch_size=2, gradient_accumulation_steps=4)
@@ -253,7 +253,62 @@ def jsonl_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     rows = readers.read_records(
         spark, [f"{path}/part={i}" for i in range(3)], "doc_id long, text string, lang string", with_file=True
     )
-    return rows.where("file_name IS NOT NULL").drop("file_name")
+    return rows.where("file_name IS NOT NULL and line >= 0").drop("file_name", "line")
+
+
+@query("""SELECT 'kept' AS kind, doc_id, md5(text) AS value, CAST(NULL AS VARCHAR) AS reason FROM documents
+UNION ALL SELECT 'rejected', NULL, concat('{"doc_id": ', doc_id), 'no JSON' FROM documents WHERE doc_id % 5 = 0
+UNION ALL SELECT 'rejected', NULL, concat('{"doc_id": "', lang, doc_id, '"}'), 'another type' FROM documents WHERE doc_id % 5 = 1""")
+def rejected_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines cut short and values of another type among all records: both kinds of lines come from one scan."""
+    path = scratch_path(spark, "records")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    whole = F.to_json(F.struct("doc_id", "text"), {"ignoreNullFields": "true"})
+    short = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit('{"doc_id": '), F.col("doc_id")))
+    typed = F.when(F.col("doc_id") % 5 == 1, F.concat(F.lit('{"doc_id": "'), "lang", "doc_id", F.lit('"}')))
+    lines = F.filter(F.array(whole, short, typed, F.lit("  ")), lambda x: x.isNotNull())
+    docs.select(F.explode(lines).alias("value")).write.text(path)
+    kept, rejected = readers.read_checked(spark, path, "doc_id long, text string")
+    none = F.lit(None)
+    return kept.select(F.lit("kept").alias("kind"), "doc_id", F.md5("text").alias("value"), none.cast("string").alias("reason")).unionByName(
+        rejected.where("line >= 0").select(F.lit("rejected").alias("kind"), none.cast("long").alias("doc_id"), "value", "reason")
+    )
+
+
+@query("""WITH p AS (SELECT doc_id, text, CAST(row_number() OVER (ORDER BY length(text) > 2000, doc_id) - 1 AS BIGINT) AS gidx FROM documents)
+SELECT gidx, doc_id, md5(text) AS text FROM p JOIN (SELECT DISTINCT CAST(event_id // 3 AS BIGINT) AS gidx FROM events WHERE event_type = 'error') USING (gidx)""")
+def positions_after_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Short texts first, long ones appended behind them; the records at given positions are read by file."""
+    folder = scratch_path(spark, "positions")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    long = F.length("text") > 2000
+    for part in (~long, long):
+        positions.append_ordered(docs.where(part), ["doc_id"], folder)
+    wanted = table(spark, sf, "events").where("event_type = 'error'").select(F.expr("event_id div 3").alias("gidx")).distinct()
+    found = positions.at_positions(spark, folder, "doc_id long, text string", wanted)
+    return found.select("gidx", "doc_id", F.md5("text").alias("text"))
+
+
+@query(f"""SELECT doc_id, {sql_normalize("CASE WHEN source = (SELECT min(source) FROM documents) THEN concat('again: ', text) ELSE text END")} AS text FROM documents""")
+def changed_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """A chunk per source; a first run, one after a chunk was rewritten, one after nothing changed."""
+    folder, out = scratch_path(spark, "chunks"), scratch_path(spark, "processed")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    first = docs.agg(F.min("source")).first()[0]
+
+    def write(rows: DataFrame, mode: str) -> None:
+        rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("source").json(folder)
+
+    def process(lines: DataFrame) -> DataFrame:
+        rows = lines.select("chunk", F.from_json("value", "doc_id long, text string").alias("r"))
+        return rows.select("chunk", "r.doc_id", T.normalize(F.col("r.text")).alias("text"))
+
+    write(docs, "errorifexists")
+    for _ in range(2):
+        manifest.process_changed(spark, folder, out, process)
+        write(docs.where(F.col("source") == first).withColumn("text", F.concat(F.lit("again: "), "text")), "overwrite")
+    manifest.process_changed(spark, folder, out, process)
+    return manifest.current(spark, out, "chunk string, doc_id long, text string").select("doc_id", "text")
 
 
 @query("""SELECT 'type' AS kind, n_name AS raw, concat('r', n_regionkey) AS label FROM nation
@@ -422,16 +477,20 @@ def stream_nan_alert(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(jobs.ALERTS).parquet(f"{out}/alerts").select("run_id", "ord", "nan_run", "rollbacks")
 
 
-@query(f"SELECT DISTINCT {sql_key('lang', 'text')} AS concept_key, lang FROM documents")
+@query(f"""SELECT concept_key, lang, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY concept_key ORDER BY part, doc_id DESC) AS place
+  FROM (SELECT {sql_key('lang', 'text')} AS concept_key, lang, doc_id, coalesce(CAST(length(text) > 2000 AS INT), 0) AS part FROM documents))
+WHERE place = 1""")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """One record per concept; which of its records stays is open, so keys and prompts are compared."""
+    """The first record of each concept: short texts arrive first, and in an arrival the largest doc_id leads."""
     folder, out, check = (scratch_path(spark, name) for name in ("records", "unique", "progress"))
     docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("usr_prompt"), F.col("text").alias("target"))
-    writers.write_records(docs, folder)
-    records = jobs.record_stream(spark, folder, "doc_id long, usr_prompt string, target string")
-    jobs.run_available(jobs.first_seen(jobs.concept_stream(records), "doc_id"), out, check)
-    unique = spark.read.schema("doc_id long, usr_prompt string, target string, concept_key string").parquet(out)
-    return unique.select("concept_key", F.col("usr_prompt").alias("lang"))
+    long = F.coalesce(F.length("target") > 2000, F.lit(False))
+    for arriving in (~long, long):
+        writers.write_records(docs.where(arriving), folder, "append")
+        records = jobs.concept_stream(jobs.record_stream(spark, folder, "doc_id long, usr_prompt string, target string"))
+        jobs.run_first_wins(records.withColumn("place", -F.col("doc_id")), ["place"], ["doc_id", "usr_prompt"], out, check)
+    unique = spark.read.schema("concept_key string, doc_id long, usr_prompt string").parquet(out)
+    return unique.select("concept_key", F.col("usr_prompt").alias("lang"), "doc_id")
 
 
 @query(f"""WITH {_ROWS} SELECT run_id, CAST(attempt AS BIGINT) AS attempt, iter AS "Iter", {_NUM.format(c='train_loss')} AS "TrainLoss",
@@ -447,6 +506,24 @@ def stream_stats(spark: SparkSession, sf: str) -> DataFrame:
     return _compared_rows(jobs.stats_table(spark, out))
 
 
+@query(f"""WITH {_NAN_RUNS} SELECT CAST(user_id AS VARCHAR) AS run_id, event_id AS ord, nan_run,
+  row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rollbacks FROM runs WHERE nan_run % 3 = 0""")
+def stream_late_losses(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid losses arrive a batch after the missing ones, so every run's second batch holds earlier rows."""
+    folder, out, check = (scratch_path(spark, name) for name in ("losses", "alerts", "progress"))
+    losses = _losses(spark, sf).select(
+        F.col("user_id").cast("string").alias("run_id"), F.col("event_id").alias("ord"),
+        (F.col("event_id") + 1).alias("iter"), F.col("loss").cast("string").alias("loss"),
+    )
+    reach = table(spark, sf, "events").agg(F.max("event_id") + 1).first()[0]
+    for nan in (True, False):
+        writers.write_records(losses.where(F.coalesce(F.isnan(F.col("loss").cast("double")), F.lit(False)) == nan), folder, "append")
+        arriving = jobs.record_stream(spark, folder, "run_id string, ord long, iter long, loss string")
+        jobs.run_nan_alerts(arriving.withColumn("loss", F.col("loss").cast("double")), CFG, out, check, lateness=reach)
+    jobs.finish_nan_alerts(spark, CFG, out)
+    return spark.read.schema(jobs.ALERTS).parquet(f"{out}/alerts").select("run_id", "ord", "nan_run", "rollbacks")
+
+
 @query(f"""WITH {_NAN_RUNS}, hits AS (SELECT CAST(user_id AS VARCHAR) AS run_id, event_id + 1 AS iter, event_id * {K} AS record_id FROM runs WHERE nan_run % 3 = 0)
 SELECT run_id, iter, record_id, md5(coalesce(text, 'Unknown')) AS text, 'rollback-skip' AS action, 1 AS listed
 FROM hits LEFT JOIN documents ON doc_id = record_id""")

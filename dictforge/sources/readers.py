@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dictforge import schemas
 from dictforge.operators.ordered import with_global_index
+from dictforge.operators.skew import lookup_join
+from dictforge.session import stage
 
 
 def read_table(
@@ -69,14 +72,72 @@ def read_extension_categories(spark: SparkSession, path: str) -> DataFrame:
     return exploded.select("ext_type", "entry.description", "entry.category")
 
 
+def with_line_numbers(read: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """``columns`` of a scan of text files with ``file_path``, ``file_name``, ``block`` and ``line``, from 0 in its file.
+
+    The rows are written once. Those of a block (a split of a file, which begins at the byte ``block``) lie one after the
+    other in one task, so a line is numbered by its place in the block and the lines of the blocks before it; how
+    files are split and splits are dealt changes nothing.
+    """
+    rows = stage(read.select(
+        *columns, F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_place"),
+    ), name)
+    at = F.concat_ws("@", F.col("block").cast("string"), "file_path")
+    blocks = rows.groupBy("file_path", "block").agg(F.min("_place").alias("_first"), F.count("*").alias("_lines"))
+    # A window over the blocks of one file.
+    before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = blocks.select(
+        at.alias("_at"), (F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
+    )
+    numbered = lookup_join(rows.withColumn("_at", at), shifts, "_at", "inner", "_place")
+    return numbered.withColumn("line", F.col("_place") + F.col("_shift")).drop("_place", "_at", "_shift")
+
+
+# The column of a record that holds its line where that is no record.
+_REJECTED = "_rejected"
+
+
+def _checked(spark: SparkSession, paths: str | list[str], schema: str, mode: str) -> DataFrame:
+    options = {"mode": mode} if mode == "FAILFAST" else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECTED}
+    fields = schema if mode == "FAILFAST" else f"{schema}, {_REJECTED} string"
+    lines = spark.read.text(paths).select("value", "_metadata").where(F.trim("value") != "")
+    parsed = lines.select("_metadata", F.from_json("value", fields, options).alias("r"))
+    line = F.lit(None).cast("string") if mode == "FAILFAST" else F.col(f"r.{_REJECTED}")
+    return with_line_numbers(parsed.withColumn(_REJECTED, line), ["r", _REJECTED], "records")
+
+
 def read_records(
     spark: SparkSession, paths: str | list[str], schema: str, mode: str = "DROPMALFORMED", with_file: bool = False
 ) -> DataFrame:
-    """JSON lines; blank lines are skipped. ``mode`` FAILFAST makes a malformed line an error."""
-    rows = spark.read.schema(schema).option("mode", mode).json(paths)
-    if with_file:
-        rows = rows.select("*", F.col("_metadata.file_name").alias("file_name"))
-    return rows
+    """JSON lines; blank lines are skipped. ``mode`` FAILFAST makes a malformed line an error.
+
+    ``with_file`` adds the name of the file and the number of the line among the file's lines that are not blank.
+    """
+    if not with_file:
+        return spark.read.schema(schema).option("mode", mode).json(paths)
+    rows = _checked(spark, paths, schema, mode)
+    return _kept(rows, schema)
+
+
+def _kept(rows: DataFrame, schema: str) -> DataFrame:
+    fields = [F.col(f"r.`{name}`") for name in StructType.fromDDL(schema).fieldNames()]
+    return rows.where(F.col(_REJECTED).isNull()).select(*fields, "file_name", "line")
+
+
+def read_checked(spark: SparkSession, paths: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
+    """Records with ``file_name`` and ``line``, and the lines that are none, from one scan.
+
+    A rejected line comes with its file, the byte at which its split begins, its number and the reason: it is
+    no JSON, or a value of it has another type than the schema says.
+    """
+    rows = _checked(spark, paths, schema, "PERMISSIVE")
+    bad = rows.where(F.col(_REJECTED).isNotNull())
+    no_json = F.try_parse_json(F.col(_REJECTED)).isNull()
+    return _kept(rows, schema), bad.select(
+        "file_name", "block", "line", F.col(_REJECTED).alias("value"),
+        F.when(no_json, "no JSON").otherwise("another type").alias("reason"),
+    )
 
 
 def content_rows(records: DataFrame) -> DataFrame:
@@ -90,8 +151,7 @@ def content_rows(records: DataFrame) -> DataFrame:
     if "word_ord" not in rows.columns:
         if "file_name" not in rows.columns:
             raise ValueError("read the records with their files, or with word_ord")
-        placed = rows.withColumn("_line", F.monotonically_increasing_id())
-        rows = with_global_index(placed, ["file_name", "_line"], "word_ord").drop("_line")
+        rows = with_global_index(rows, ["file_name", "line"], "word_ord")
     block = F.col("block") if "block" in rows.columns else F.lit(0)
     items = rows.select("word_ord", block.cast("long").alias("block"), "metadata", F.posexplode("content").alias("pos", "m"))
     own = items.where(F.col("m.cont").isNull())
@@ -169,10 +229,8 @@ def read_stats(spark: SparkSession, path: str, schema: str = schemas.TRAINING_ST
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines with their place: ``line`` ascends within a file, as its splits are read in order."""
-    return spark.read.text(path).select(
-        "value", F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("line")
-    )
+    """Log lines with their file and their number in it, from 0."""
+    return with_line_numbers(spark.read.text(path), ["value"], "log_lines").select("value", "file_name", "line")
 
 
 # What a damaged table file is reported as.

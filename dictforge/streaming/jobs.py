@@ -66,15 +66,46 @@ def telemetry(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def first_seen(records: DataFrame, spread: str) -> DataFrame:
-    """One record of each concept key over an unbounded stream; the seen keys never expire.
+    """One record of each concept key over an unbounded stream; which one is open, the seen keys never expire.
 
-    Copies of a frequent key are first dropped within a salt, so at most ``SALTS`` of them per batch
-    meet in the task that owns the key.
+    ``first_wins`` settles which. Copies of a frequent key are first dropped within a salt, so at most ``SALTS``
+    of them per batch meet in the task that owns the key.
     """
     salted = records.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     return salted.dropDuplicates(["concept_key", "_salt"]).dropDuplicates(["concept_key"]).drop("_salt")
 
 
+def first_wins(records: DataFrame, order: list[str], kept: list[str]) -> DataFrame:
+    """``concept_key`` and ``kept`` of the record of each key that came first, given out once, for good.
+
+    An earlier batch comes before a later one, whatever ``order`` says; inside a batch ``order`` decides. The state
+    is one row per key, with ``order`` and ``kept`` only: name the id of a record, and join its text later. Rows of a
+    key combine before the exchange, so a frequent key is one row per task. Write it in update mode.
+    """
+    stamped = records.select("concept_key", F.struct(
+        F.current_timestamp().alias("stamp"), *order, *[c for c in kept if c not in order]
+    ).alias("row"))
+    # A batch has one timestamp, which a batch that runs again keeps.
+    seen = stamped.groupBy("concept_key").agg(F.min("row").alias("first"), F.max("row.stamp").alias("latest"))
+    return seen.where("first.stamp = latest").select("concept_key", *[F.col(f"first.{c}") for c in kept])
+
+
+def run_first_wins(records: DataFrame, order: list[str], kept: list[str], folder: str, checkpoint: str) -> None:
+    """Append the first records of new keys of what has arrived; each batch writes its own folder anew."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    query = (
+        first_wins(records, order, kept).writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 ALERTS = "run_id string, ord long, iter long, nan_run long, rollbacks long, action string"
 _ALERT_STATE = "nan_run long, rollbacks long, stopped boolean"
 
@@ -127,7 +158,8 @@ def nan_alerts(losses: DataFrame, cfg: Config, action: str = "rollback") -> Data
     )
 
 
-RUN_STATE = "run_id string, nan_run long, rollbacks long, stopped boolean"
+RUN_STATE = "run_id string, nan_run long, rollbacks long, stopped boolean, counted long"
+PENDING = "run_id string, ord long, iter long, loss double"
 
 
 def alerts_of_batch(losses: DataFrame, state: DataFrame, cfg: Config, action: str) -> tuple[DataFrame, DataFrame]:
@@ -162,31 +194,59 @@ def alerts_of_batch(losses: DataFrame, state: DataFrame, cfg: Config, action: st
         "run_id", "ord", "iter", "nan_run", rollbacks.alias("rollbacks"),
         F.when(last, "stop").otherwise(action).alias("action"),
     )
-    ends = runs.groupBy("run_id").agg(F.max_by("nan_run", "ord").alias("_ends"))
+    ends = runs.groupBy("run_id").agg(F.max_by("nan_run", "ord").alias("_ends"), F.max("ord").alias("_at"))
     done = alerts.groupBy("run_id").agg(F.max("rollbacks").alias("_done"), F.max(F.col("action") == "stop").alias("_stop"))
     ended = F.coalesce("_stop", F.lit(False)) if action != "terminate" else F.col("_done").isNotNull()
     after = state.join(ends, "run_id", "full").join(done, "run_id", "left").select(
         "run_id", F.coalesce("_ends", "nan_run").alias("nan_run"),
         F.coalesce("_done", "rollbacks", F.lit(0)).cast("long").alias("rollbacks"),
         (F.coalesce("stopped", F.lit(False)) | ended).alias("stopped"),
+        F.coalesce("_at", "counted").alias("counted"),
     )
     return alerts, after
 
 
-def run_nan_alerts(losses: DataFrame, cfg: Config, folder: str, checkpoint: str, action: str = "rollback") -> None:
-    """``nan_alerts`` for runs of any size: alerts and state of each batch in folders of their own.
+def ripe_rows(rows: DataFrame, state: DataFrame, lateness: int | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows whose turn has come, rows that wait for earlier ones, and rows that came after their turn.
 
-    A batch reads the state of the one before and writes ``alerts/batch=<id>`` and ``state/batch=<id>``
-    anew, so a batch that runs again gives the same. The state is one row per run.
+    A row waits until one of its run that is ``lateness`` places further on has arrived; without ``lateness`` none
+    waits. What waits is bounded by ``lateness`` places per run.
+    """
+    counted = lookup_join(rows, state.select("run_id", "counted"), "run_id", "left", "ord")
+    late = counted.where("ord <= counted").drop("counted")
+    fresh = counted.where("counted is null or ord > counted").drop("counted")
+    if lateness is None:
+        return fresh, fresh.limit(0), late
+    tops = fresh.groupBy("run_id").agg((F.max("ord") - lateness).alias("_until"))
+    held = lookup_join(fresh, tops, "run_id", "left", "ord")
+    return held.where("ord <= _until").drop("_until"), held.where("ord > _until").drop("_until"), late
+
+
+def _alert_step(
+    spark: SparkSession, batch: DataFrame, batch_id: int, cfg: Config, folder: str, action: str, lateness: int | None
+) -> None:
+    state = read_or_empty(spark, f"{folder}/state/batch={batch_id - 1}", RUN_STATE)
+    waiting = read_or_empty(spark, f"{folder}/pending/batch={batch_id - 1}", PENDING)
+    rows = stage(batch.select(*waiting.columns).unionByName(waiting), "losses_of_batch")
+    ripe, pending, late = ripe_rows(rows, state, lateness)
+    alerts, after = alerts_of_batch(stage(ripe, "ripe_losses"), state, cfg, action)
+    for name, found in (("alerts", alerts), ("pending", pending), ("late", late), ("state", after)):
+        found.write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
+
+
+def run_nan_alerts(
+    losses: DataFrame, cfg: Config, folder: str, checkpoint: str, action: str = "rollback", lateness: int | None = None
+) -> None:
+    """``nan_alerts`` for runs of any size: alerts, state, waiting and late rows of each batch in folders of their own.
+
+    A batch reads what the one before left and writes ``alerts/batch=<id>``, ``state/batch=<id>`` and so on
+    anew, so a batch that runs again gives the same. The state is one row per run. With ``lateness`` a row
+    waits for those before it (see ``ripe_rows``), across batches; ``finish_nan_alerts`` counts what waits still. Rows
+    that come after later ones were counted move no counter and stand in ``late``.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = read_or_empty(spark, f"{folder}/state/batch={batch_id - 1}", RUN_STATE)
-        staged = stage(batch.select("run_id", "ord", "iter", "loss"), "losses_of_batch")
-        alerts, after = alerts_of_batch(staged, state, cfg, action)
-        alerts.write.mode("overwrite").parquet(f"{folder}/alerts/batch={batch_id}")
-        after.write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
+        _alert_step(batch.sparkSession, batch, batch_id, cfg, folder, action, lateness)
 
     query = (
         losses.writeStream.outputMode("append")
@@ -198,6 +258,14 @@ def run_nan_alerts(losses: DataFrame, cfg: Config, folder: str, checkpoint: str,
     query.awaitTermination()
 
 
+def finish_nan_alerts(spark: SparkSession, cfg: Config, folder: str, action: str = "rollback") -> None:
+    """Count the rows that still wait, when no more will come; running it again changes nothing."""
+    left = [spark.read.schema("run_id string, batch long").parquet(f"{folder}/{name}") for name in ("state", "pending")]
+    last = left[0].unionByName(left[1]).agg(F.max("batch")).first()[0]
+    if last is not None:
+        _alert_step(spark, spark.createDataFrame([], PENDING), last + 1, cfg, folder, action, None)
+
+
 def write_alerts(
     batch: DataFrame, batch_id: int, records: DataFrame, cfg: Config, folder: str, action: str
 ) -> None:
