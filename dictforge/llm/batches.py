@@ -77,19 +77,21 @@ def with_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def summed(df: DataFrame, column: str, dtype: str, width: int, places: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """How often each of ``width`` places occurs over all rows; ``places`` gives those of one row's binary ``column``.
+def summed(
+    df: DataFrame, column: str, dtype: str, width: int, places: Callable[[np.ndarray], np.ndarray], ending: bytes = b""
+) -> np.ndarray:
+    """How often each of ``width`` places occurs over all rows; ``places`` gives those of a stream of numbers.
 
-    A task sends each place once, and ``width`` bounds what comes to the driver.
+    The stream is the binary ``column`` of some rows, one after the other, each followed by ``ending``. A task sends each place once,
+    and ``width`` bounds what comes to the driver.
     """
     schema = pa.schema([("place", pa.int32()), ("n", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, np.int64)
         for batch in parts:
-            for raw in batch.column(0).to_pylist():
-                found, n = np.unique(places(np.frombuffer(raw, dtype).astype(np.int64)), return_counts=True)
-                total[found] += n
+            raw = ending.join([*batch.column(0).to_pylist(), b""])
+            total += np.bincount(places(np.frombuffer(raw, dtype).astype(np.int64)), minlength=width)
         used = np.flatnonzero(total)
         for i in range(0, len(used), 1 << 16):
             part = used[i : i + (1 << 16)]
