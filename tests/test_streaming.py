@@ -113,3 +113,34 @@ def test_batches_of_alerts_equal_a_plain_count(spark, tmp_path, monkeypatch, act
         found += [tuple(r) for r in alerts.select("run_id", "ord", "iter", "nan_run", "rollbacks", "action").collect()]
         state = spark.createDataFrame(after.collect(), jobs.RUN_STATE)
     assert sorted(found) == sorted(want)
+
+
+def test_first_wins_for_good(spark, tmp_path):
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    arrivals = [[(5, "a"), (3, "a"), (9, "b")], [(1, "a"), (2, "b"), (7, "c"), (6, "c")], [(0, "c"), (4, "d")]]
+    for rows in arrivals:
+        df = spark.createDataFrame(rows, "id long, target string").withColumn("usr_prompt", F.lit("p"))
+        writers.write_records(df.coalesce(1), folder, "append")
+        records = jobs.concept_stream(jobs.record_stream(spark, folder, "id long, usr_prompt string, target string"))
+        for _ in range(2):
+            jobs.run_first_wins(records, ["id"], ["id", "target"], out, check)
+    kept = spark.read.schema("concept_key string, id long, target string").parquet(out).collect()
+    assert sorted((r["target"], r["id"]) for r in kept) == [("a", 3), ("b", 9), ("c", 6), ("d", 4)]
+
+
+def test_late_rows_are_put_in_order(spark, tmp_path):
+    """Rows wait for earlier ones of a later batch; those beyond the lateness move no counter."""
+    cfg = Config(max_nan_threshold=3)
+    rows = {i: ("r", i, i + 1, NAN if i not in (4, 9) else "1.0") for i in range(14)}
+    batches = [[rows[i] for i in (0, 2, 1, 3, 7)], [rows[i] for i in (5, 4, 6, 8, 13)], [rows[i] for i in (9, 10, 12, 11)], [("r", 2, 3, "1.0")]]
+    folder = str(tmp_path)
+    for batch in batches:
+        writers.write_records(spark.createDataFrame(batch, "run_id string, ord long, iter long, loss string").coalesce(1), f"{folder}/in", "append")
+        stream = jobs.record_stream(spark, f"{folder}/in", "run_id string, ord long, iter long, loss string")
+        jobs.run_nan_alerts(stream.withColumn("loss", F.col("loss").cast("double")), cfg, f"{folder}/out", f"{folder}/check", lateness=5)
+    for _ in range(2):
+        jobs.finish_nan_alerts(spark, cfg, f"{folder}/out")
+    got = spark.read.schema(jobs.ALERTS).parquet(f"{folder}/out/alerts").orderBy("ord").collect()
+    assert [(r["ord"], r["nan_run"], r["rollbacks"]) for r in got] == [(2, 3, 1), (7, 3, 2), (12, 3, 3)]
+    late = spark.read.schema("run_id string, ord long").parquet(f"{folder}/out/late").collect()
+    assert [r["ord"] for r in late] == [2]
