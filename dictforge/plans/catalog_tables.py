@@ -26,6 +26,14 @@ RELATED = Config(relation_tasks=True)
 _MEANING_ID = (
     "((l_orderkey * 8 + l_linenumber) * 64 + CAST(l_quantity AS BIGINT)) * 100000 + (l_partkey * 7 + l_suppkey) % 100000"
 )
+# The first meaning of an order: many extensions and links come to it, a few belong to no meaning at all.
+_FIRST_MEANING = f"min({_MEANING_ID}) OVER (PARTITION BY l_orderkey)"
+
+
+def _owner(own: str) -> str:
+    return f"CASE WHEN l_orderkey % 97 = 5 THEN -({_MEANING_ID}) WHEN {own} THEN {_MEANING_ID} ELSE {_FIRST_MEANING} END"
+
+
 _SOURCE_CODE = "chr(CAST(97 + l_suppkey % 26 AS INT))"
 INPUTS = {
     "words": """SELECT p_partkey AS WordId, p_name AS WordText,
@@ -46,15 +54,15 @@ INPUTS = {
           ELSE concat('src', s_nationkey % 3) END AS SourceShortText,
         CASE WHEN s_suppkey % 20 = 0 THEN NULL ELSE s_name END AS SourceLongText,
         CASE WHEN s_nationkey % 2 = 0 THEN 'sa,en' END AS SourceLanguages FROM supplier""",
-    "extensions": f"""SELECT {_MEANING_ID} * CASE WHEN l_linenumber % 2 = 1 AND o_orderkey % 3 = 0 THEN 1 ELSE -1 END AS MeaningId,
+    "extensions": f"""SELECT {_owner("l_linenumber % 2 = 1 AND o_orderkey % 3 = 0")} AS MeaningId,
         CASE WHEN o_custkey % 11 = 0 THEN 'iwn.ONTOLOGY' WHEN o_custkey % 11 = 1 THEN 'iwn.MERO_STUFF_OBJECT'
           WHEN o_custkey % 11 = 2 THEN 'iwn.HYPERNYMY' ELSE CASE o_orderpriority WHEN '1-URGENT' THEN 'iwn.lang.hin' WHEN '2-HIGH' THEN 'iwn.SYNONYM'
           WHEN '3-MEDIUM' THEN 'iwn.lang.tam' WHEN '4-NOT SPECIFIED' THEN 'Roots' ELSE 'iwn.HOLO_PLACE_AREA' END END AS ExtensionType,
         CASE WHEN o_custkey % 9 = 0 THEN '' ELSE concat('w', o_custkey % 50, ', v', l_linenumber) END AS WordList,
         o_orderstatus AS Details FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-        UNION ALL SELECT {_MEANING_ID} * CASE WHEN l_orderkey % 6 = 0 THEN 1 ELSE -1 END, 'iwn.lang.ben',
+        UNION ALL SELECT {_owner("l_orderkey % 6 = 0")}, 'iwn.lang.ben',
         concat('b', l_quantity < 25), NULL FROM lineitem""",
-    "extension_links": f"""SELECT {_MEANING_ID} * CASE WHEN l_tax > 0.04 THEN 1 ELSE -1 END AS MeaningId,
+    "extension_links": f"""SELECT {_owner("l_tax > 0.04")} AS MeaningId,
         CASE WHEN l_linenumber = 1 THEN ' | ,' ELSE concat('a', l_linenumber, '| b', CAST(l_quantity AS BIGINT) % 3, ' ,, c|') END AS WordList
         FROM lineitem""",
     "titles": "SELECT chr(97 + n_nationkey) AS Code, n_name AS Title FROM nation",

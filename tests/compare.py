@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -54,7 +55,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     import __spark_entry__ as contract
     from dictforge.session import local_session
 
-    spark: SparkSession = local_session(8, 8)
+    spark: SparkSession = local_session(int(os.environ.get("COMPARE_CPUS", "8")), 8)
     failed = 0
     for name, fn in contract.queries().items():
         if names and name not in names:
