@@ -16,8 +16,9 @@ from dictforge.session import stage
 # A run that repeats is removed from so many words on; below it only whole lines of some words are.
 RUN_WORDS = 20
 LINE_WORDS = 5
-# Words of the shingles whose smallest hash stands for a run until it is known which may repeat.
-ANCHOR_WORDS = 5
+# Words of the shingles whose smallest hash stands for a run until it is known which may repeat. Fewer words make
+# fewer anchors, more words fewer that are shared by chance; the result is the same.
+ANCHOR_WORDS = 8
 
 
 @functools.cache
