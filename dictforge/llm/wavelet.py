@@ -46,7 +46,7 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], bits: i
     body, planes = [], []
     current = ids
     for shift in range(bits - 1, -1, -1):
-        ones = ((current >> shift) & 1).astype(bool)
+        ones = (current & current.dtype.type(1 << shift)) != 0
         packed = np.packbits(ones, bitorder="little")
         step = BLOCK_BITS // 8
         counts = [int(np.bitwise_count(packed[k : k + step]).sum(dtype=np.int64)) for k in range(0, len(packed), step)]
@@ -242,13 +242,17 @@ class WordEncoder:
         """The ids of each text, little-endian."""
         split = [text.encode("utf-8", "surrogatepass").split() for text in texts]
         known = self.known
-        missing = {w for words in split for w in words if w not in known}
+        found = [list(map(known.get, words)) for words in split]
+        missing = {w for words, own in zip(split, found) for w, ids in zip(words, own) if ids is None}
         if len(known) + len(missing) > KNOWN_WORDS:
             known.clear()
             self.pieces.clear()
-            missing = {w for words in split for w in words}
         self._learn(list(missing))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        # What was found stays at hand, though its word may be forgotten.
+        return [
+            b"".join(own if None not in own else [known[w] if ids is None else ids for w, ids in zip(words, own)])
+            for words, own in zip(split, found)
+        ]
 
 
 @functools.cache
