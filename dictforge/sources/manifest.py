@@ -36,7 +36,7 @@ def process_changed(
     ``process`` takes ``value``, ``file_name``, ``line`` and ``chunk`` and keeps ``chunk``. Chunks whose files have the same names,
     sizes and times as before are not read. Those touched are read and digested, each line with its number,
     and only those whose digest is new are processed. Their output replaces the old at once, when the manifest
-    of this run is written: a run that breaks off before changes nothing. Outputs of chunks that are gone go too.
+    of this run is written: a run that breaks off before changes nothing. Outputs of chunks that are gone or empty go too.
     """
     known = read_manifest(spark, out)
     number = (known.agg(F.max("run")).first()[0] or 0) + 1
