@@ -98,21 +98,32 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
+def _estimates(q: _Block, c: _Block) -> tuple[np.ndarray, np.ndarray]:
+    """The product of the kept parts of each pair, and how far it may be from that of the vectors."""
+    near = _product(q.quantised, c.quantised) * (q.scale[:, None] * c.scale).astype(np.float32)
+    error = np.stack([q.rest, q.norm], 1) @ np.stack([c.norm + c.rest, c.rest])
+    # The float32 arithmetic above has its own, far smaller error.
+    error = (error + 1e-6 * (q.norm + q.rest)[:, None] * (c.norm + c.rest)).astype(np.float32) * np.float32(1.001)
+    return near, error
+
+
 def tile(q: _Block, c: _Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The ``k`` best candidates of one tile for each query: row of the query, vec_id, exact score.
 
     With x = x' + e (kept and rounded off), x.y differs from x'.y' by at most |e| (|y'| + |f|) + |x'| |f|.
     A pair survives if its upper bound reaches the k-th largest lower bound of its query.
     """
-    near = _product(q.quantised, c.quantised) * (q.scale[:, None] * c.scale).astype(np.float32)
-    error = np.stack([q.rest, q.norm], 1) @ np.stack([c.norm + c.rest, c.rest])
-    # The float32 arithmetic above has its own, far smaller error.
-    error = (error + 1e-6 * (q.norm + q.rest)[:, None] * (c.norm + c.rest)).astype(np.float32) * np.float32(1.001)
+    with np.errstate(over="ignore", invalid="ignore"):
+        near, error = _estimates(q, c)
+        lower, upper = near - error, near + error
+    # What overflows says nothing, so such pairs survive.
+    said = np.isfinite(lower) & np.isfinite(upper)
     own = q.ids[:, None] == c.ids
-    lower = np.where(own, -np.inf, near - error)
+    lower = np.where(said & ~own, lower, -np.inf)
+    upper = np.where(said, upper, np.inf)
     at = max(len(c.ids) - k, 0)
     reached = np.partition(lower, at, axis=1)[:, at]
-    rows, found = np.nonzero((near + error >= reached[:, None]) & ~own)
+    rows, found = np.nonzero((upper >= reached[:, None]) & ~own)
     scores = exact(q.raw[rows], c.raw[found])
     ids = c.ids[found]
     order = np.lexsort((ids, -scores, rows))
@@ -128,13 +139,13 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vector: str = "emb
     ``queries`` says which rows of ``vectors`` (vec_id, vector) ask; a query's own vec_id is no candidate.
     Nearest first, ties to the smaller vec_id; all candidates where there are fewer than ``k``. Unusable
     vectors and null ids take no part, vectors of other dimensions are no candidates. A repeated row is a
-    candidate each time; of a repeated query id the smallest vector asks. An empty table gives no rows.
+    candidate each time, and asks each time: the rows of one query id share its ``k`` places. An empty table gives no rows.
     Candidates stay where they are read; each group of their blocks gets one copy of the query blocks.
     """
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(vector)).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"), queries.alias("_asks")
     )
-    asking = rows.where("_asks").groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    asking = rows.where("_asks").select("vec_id", "vector")
     candidates = stage(blocks(rows.select("vec_id", "vector"), CANDIDATE_BLOCK), "candidate_blocks")
     groups = max(1, -(-candidates.count() // BLOCKS_PER_GROUP))
     grouped = candidates.withColumn("_group", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))

@@ -198,6 +198,21 @@ def test_error_bounds_hold_for_extreme_scales(spark):
         assert {r["vec_id"] for r in out if r["query_id"] == q} == set(np.argsort(-scores)[:7].tolist())
 
 
+def test_vectors_beyond_the_estimates_and_repeated_queries(spark):
+    """Products that single precision cannot hold are counted in double; each row of a query id asks."""
+    rng = np.random.default_rng(8)
+    raw = rng.normal(size=(80, 8))
+    raw[0] *= 1e30
+    raw[1:21] *= 1e25
+    rows = [(i, r.tolist()) for i, r in enumerate(raw)] + [(20, raw[30].tolist()), (21, raw[22].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = neighbours.nearest(df, neighbours.F.col("vec_id") % 20 == 0, 3).collect()
+    for q in (0, 20, 40, 60):
+        pairs = [(-sum(a * b for a, b in zip(x, y)), j) for i, x in rows if i == q for j, y in rows if j != q]
+        want = [j for _, j in sorted(pairs)[:3]]
+        assert [r["vec_id"] for r in sorted(out, key=lambda r: r["rank"]) if r["query_id"] == q] == want
+
+
 def test_equal_substrings_share_interior_phrases():
     rng = random.Random(7)
     words = ["".join(rng.choices("abcdefghijklm", k=rng.randint(2, 8))) for _ in range(300)]
