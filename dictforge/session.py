@@ -36,6 +36,10 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **settings:
     return spark
 
 
+# Paths that this process has given out, until ``remove_staged``.
+_GIVEN: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -44,7 +48,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="dictforge-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/dictforge/{uuid.uuid4().hex}/{name}"
+    _GIVEN.append(f"{base.rstrip('/')}/dictforge/{uuid.uuid4().hex}")
+    return f"{_GIVEN[-1]}/{name}"
+
+
+def remove_staged(spark: SparkSession) -> int:
+    """Delete the folders that ``scratch_path`` gave to this process; the number of those that were there.
+
+    Call it when no frame that reads them is used any more.
+    """
+    removed = 0
+    while _GIVEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_GIVEN.pop())
+        removed += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return removed
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

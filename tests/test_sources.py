@@ -3,10 +3,12 @@
 import html
 import html.entities
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from dictforge import session
 from dictforge.config import Config
 from dictforge.functions import text as T
 from dictforge.operators import extract, skew
@@ -156,3 +158,12 @@ def test_native_entities_equal_the_standard_library(spark):
     plain = df.select("i", T.unescape_html(F.col("s")).alias("s"))
     assert "Python" not in plain._jdf.queryExecution().executedPlan().toString()
     assert [(r["i"], r["s"]) for r in plain.collect()] == [(i, html.unescape(s)) for i, s in enumerate(samples)]
+
+
+def test_staged_tables_are_removed_on_request(spark, monkeypatch):
+    monkeypatch.setattr(session, "_GIVEN", [])
+    staged = [session.stage(spark.range(10), "numbers") for _ in range(2)]
+    session.scratch_path(spark, "never_written")
+    given = [Path(path.removeprefix("file:")) for path in session._GIVEN]
+    assert staged[0].count() == 10 and [path.exists() for path in given] == [True, True, False]
+    assert session.remove_staged(spark) == 2 and not any(path.exists() for path in given)
