@@ -315,3 +315,22 @@ def test_attempts_follow_each_other(spark):
     stats = spark.createDataFrame(rows, "run_id string, attempt int, Iter int, TrainLoss double").withColumn("ValLoss", F.lit(None).cast("double"))
     summary = telemetry.loss_summary(telemetry.loss_series(stats, "own")).first()
     assert (summary["rows"], summary["first_train_loss"], summary["last_train_loss"]) == (4, 3.0, 0.5)
+
+
+def test_tasks_of_answers_take_only_meanings_with_such_an_answer(spark, titles, monkeypatch):
+    tables = tables_of(
+        spark,
+        words=[(1, "w", "sa", None, None)], sources=[(1, "s", "S", None)],
+        meanings=[(i, 1, 1, f"text {i}", None, None, None, i) for i in (1, 2, 3, 4)],
+        extensions=[(1, "iwn.SYNONYM", "one", None), (2, "iwn.lang.hin", "h", None), (4, "iwn.SYNONYM", "", None)],
+    )
+    merged = []
+    whole = merge.merge_content
+    monkeypatch.setattr(merge, "merge_content", lambda rows, *more: merged.append(rows) or whole(rows, *more))
+    seen = {}
+    for kinds in (("synonym",), ("translation", "synonym"), ("definition", "synonym")):
+        found = build.task_records(tables, titles, spark.sql(LABELS), Config(), kinds).collect()
+        seen[kinds] = (merged[-1].count(), sorted((r["MeaningId"], r["task"]) for r in found))
+    assert seen["synonym",] == (1, [(1, "synonym")])
+    assert seen["translation", "synonym"] == (2, [(1, "synonym"), (2, "translation")])
+    assert seen["definition", "synonym"][0] == 4 and (1, "synonym") in seen["definition", "synonym"][1]
