@@ -167,3 +167,13 @@ def test_staged_tables_are_removed_on_request(spark, monkeypatch):
     given = [Path(path.removeprefix("file:")) for path in session._GIVEN]
     assert staged[0].count() == 10 and [path.exists() for path in given] == [True, True, False]
     assert session.remove_staged(spark) == 2 and not any(path.exists() for path in given)
+
+
+def test_items_of_order_columns_travel_once_and_given_hot_keys_need_no_sketch(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 7, f"w{i % 5}", None if i % 3 else "d") for i in range(200)], "k long, w string, d string")
+    expected = skew.block_lists(df, "k", ["w", "d"], F.struct("w", "d"), 8, min_hot_rows=29)
+    monkeypatch.setattr(skew, "hot_keys", lambda *given: pytest.fail("a sketch"))
+    for hot in ([], [0, 1]):
+        found = skew.block_lists(df, "k", ["w", "d"], None, 8, hot=hot)
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+        assert "_value" not in found._jdf.queryExecution().optimizedPlan().toString()
