@@ -13,7 +13,7 @@ import re
 import struct
 import uuid
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,9 @@ from dictforge.session import stage
 MAGIC = b"WVM1"
 BLOCK_BITS = 1 << 16
 SHARD_TOKENS = 1 << 22
-# Words whose ids a worker remembers; beyond it forgets them all, which costs time only.
-KNOWN_WORDS = 1_000_000
+# Words whose ids a worker remembers twice over: those met since it last had so many, and those before, which it takes over
+# when it meets them again and else forgets. That costs time only.
+KNOWN_WORDS = 500_000
 _WORDS_AT_ONCE = 20_000
 
 
@@ -53,7 +54,7 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], bits: i
         blocks = [squeeze(packed[k : k + step].tobytes()) for k in range(0, len(packed), step)]
         planes.append({"ones": sum(counts), "before": np.cumsum([0, *counts])[:-1].tolist(), "sizes": list(map(len, blocks))})
         body += blocks
-        current = np.concatenate([current[~ones], current[ones]])
+        current = np.concatenate([current.compress(~ones), current.compress(ones)])
     head = {"n": len(ids), "bits": bits, "planes": planes, "doc_ids": doc_ids, "lengths": lengths}
     header = squeeze(json.dumps(head).encode())
     return b"".join([MAGIC, struct.pack("<Q", len(header)), header, *body])
@@ -155,8 +156,8 @@ class WaveletMatrix:
             ones = np.concatenate([np.empty(0, np.uint8), *blocks])[: self.n].astype(bool)
             zeros = self._zeros(plane)
             placed = np.empty_like(values)
-            placed[~ones] = values[:zeros]
-            placed[ones] = values[zeros:] | (1 << (self.bits - 1 - plane))
+            placed[np.flatnonzero(~ones)] = values[:zeros]
+            placed[np.flatnonzero(ones)] = values[zeros:] | (1 << (self.bits - 1 - plane))
             values = placed
         return values
 
@@ -172,6 +173,23 @@ _PLAIN = re.compile(r"[\n\x21-\x7eÀ-ÖØ-öø-ÿ]*")
 _PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
+class Known(dict):
+    """Ids by word; a word that is not there is learned by itself, if it can be, when it is asked for."""
+
+    def __init__(self, earlier: dict[bytes, bytes], learn: Callable[[bytes], bytes | None]):
+        super().__init__()
+        self.earlier, self.learn = earlier, learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.earlier.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        if ids is None:
+            raise KeyError(word)
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, which sees each different word once.
 
@@ -188,7 +206,9 @@ class WordEncoder:
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.dtype = np.dtype("<u2" if self.bits <= 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.special = re.compile(b"|".join(map(re.escape, self.specials)) or rb"(?!)")
+        self.code = "H" if self.bits <= 16 else "I"
+        self.known = Known({}, self._alone)
         self.pieces: dict[str, bytes] = {}
         form = json.loads(self.tokenizer.to_str())
         splits = (form["pre_tokenizer"] or {}).get("pretokenizers", [{}])
@@ -197,38 +217,39 @@ class WordEncoder:
             and splits[0].get("pattern") == {"Regex": _SPLIT}
             and [p.get("type") for p in splits] == ["Split", "ByteLevel"]
         )
-        self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        show = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.shown = {c: show(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
 
-    def _plain(self, words: list[bytes]) -> None:
-        """Learn words of plain characters: each different pre-token goes to the model once."""
-        split = list(map(_PLAIN_SPLIT.findall, b"\n".join(words).decode().lower().split("\n")))
-        pieces, tokenize = self.pieces, self.tokenizer.model.tokenize
-        code = "H" if self.bits <= 16 else "I"
-        for piece in {p for own in split for p in own if p not in pieces}:
-            shown = piece if piece.isascii() else self.byte_level.pre_tokenize_str(piece)[0][0]
-            pieces[piece] = array(code, [t.id for t in tokenize(shown)]).tobytes()
-        self.known.update(zip(words, (b"".join(map(pieces.__getitem__, own)) for own in split), strict=True))
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            shown = piece if piece.isascii() else piece.translate(self.shown)
+            ids = self.pieces[piece] = array(self.code, [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+        return ids
+
+    def _alone(self, word: bytes) -> bytes | None:
+        """The ids of a word of plain characters: each different pre-token goes to the model once. None for other words."""
+        if not self.short_way or self.special.search(word):
+            return None
+        if word.isalpha():  # ASCII letters
+            return self._piece(word.lower().decode())
+        text = word.decode("utf-8", "replace")
+        if not _PLAIN.fullmatch(text):
+            return None
+        found = list(map(self._piece, _PLAIN_SPLIT.findall(text.lower())))
+        return found[0] if len(found) == 1 else b"".join(found)
 
     def _learn(self, words: list[bytes]) -> None:
-        if not words:
-            return
-        together = b"\n".join(words)
-        alone = [w for w in words if any(s in w for s in self.specials)] if any(s in together for s in self.specials) else []
-        for word in alone:
-            self.known[word] = self._ids(word.decode()).tobytes()
-        others = words
-        if alone:
-            others = [w for w in words if w not in self.known]
-        if self.short_way:
-            plain = others
-            if not _PLAIN.fullmatch(together.decode()):
-                plain = [w for w in others if _PLAIN.fullmatch(w.decode())]
-            if plain:
-                self._plain(plain)
-            others = [w for w in others if w not in self.known] if len(plain) < len(others) else []
+        """Words that are not plain, by the whole tokenizer."""
+        others = []
+        for word in words:
+            if self.special.search(word):
+                self.known[word] = self._ids(word.decode()).tobytes()
+            else:
+                others.append(word)
         mark = self.separator.encode()
         for k in range(0, len(others), _WORDS_AT_ONCE):
             some = others[k : k + _WORDS_AT_ONCE]
@@ -238,21 +259,37 @@ class WordEncoder:
             width, raw = self.dtype.itemsize, ids.tobytes()
             self.known.update(zip(some, (raw[b * width : e * width] for b, e in zip(begins, ends, strict=True)), strict=True))
 
+    def _missing(self, words: list[bytes]) -> list[bytes]:
+        """The different words that are neither known nor plain."""
+        out = []
+        for word in set(words):
+            try:
+                self.known[word]
+            except KeyError:
+                out.append(word)
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian."""
-        split = [text.encode("utf-8", "surrogatepass").split() for text in texts]
-        known = self.known
-        found = [list(map(known.get, words)) for words in split]
-        missing = {w for words, own in zip(split, found) for w, ids in zip(words, own) if ids is None}
-        if len(known) + len(missing) > KNOWN_WORDS:
-            known.clear()
-            self.pieces.clear()
-        self._learn(list(missing))
-        # What was found stays at hand, though its word may be forgotten.
-        return [
-            b"".join(own if None not in own else [known[w] if ids is None else ids for w, ids in zip(words, own)])
-            for words, own in zip(split, found)
-        ]
+        out: list[bytes] = []
+        waiting: list[tuple[int, list[bytes]]] = []
+        for text in texts:
+            words = text.encode("utf-8", "surrogatepass").split()
+            if len(self.known) > KNOWN_WORDS:
+                self.known = Known(dict(self.known), self._alone)
+                if len(self.pieces) > KNOWN_WORDS:
+                    self.pieces.clear()
+            try:
+                out.append(b"".join(map(self.known.__getitem__, words)))
+            except KeyError:
+                out.append(b"")
+                waiting.append((len(out) - 1, words))
+        if waiting:
+            # Together, for the tokenizer takes long to begin. All of them are then in the same dictionary.
+            self._learn(self._missing([word for _, words in waiting for word in words]))
+            for i, words in waiting:
+                out[i] = b"".join(map(self.known.__getitem__, words))
+        return out
 
 
 @functools.cache

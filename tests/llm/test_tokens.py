@@ -120,3 +120,17 @@ def test_shards_of_a_table(spark):
         at += len(want)
     empty = scratch_path(spark, "shards")
     assert wavelet.write_shards(docs.limit(0), WORDS, empty, 1).count() == 0
+
+
+def test_words_met_again_are_not_learned_again(monkeypatch):
+    """What is forgotten is what did not occur for long, so frequent words go to the library once; ids stay the library's."""
+    monkeypatch.setattr(wavelet, "KNOWN_WORDS", 40)
+    encoder, library = wavelet.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    learned, alone = Counter(), encoder._alone
+    monkeypatch.setattr(encoder.known, "learn", lambda word: learned.update([word]) or alone(word))
+    monkeypatch.setattr(encoder, "_alone", encoder.known.learn)
+    texts = [f"the often word, Ünd日本 <|endoftext|>x {' '.join(f'w{i}x{j}é' for j in range(9))}" for i in range(60)]
+    want = [np.array(e.ids, "<u2").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    found = [ids for k in range(0, 60, 7) for ids in encoder.encode(texts[k : k + 7])]
+    assert found == want
+    assert learned[b"the"] == learned[b"often"] == learned[b"word,"] == 1 and len(encoder.known) < 200
