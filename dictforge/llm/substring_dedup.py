@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dictforge.llm import batches
@@ -168,6 +168,16 @@ class _View:
             setattr(self, name, getattr(units, name)[a:b])
 
 
+def shared_anchors(anchors: DataFrame) -> DataFrame:
+    """The rows whose anchor more than one text has: counted where the rows of an anchor lie, so they are shuffled once.
+
+    A text gives each anchor once; rows that repeat count too, which finds no repeat that is none, as digests are held
+    against doc_ids.
+    """
+    texts = F.count("*").over(Window.partitionBy("anchor"))
+    return anchors.withColumn("_n", texts).where("_n > 1").drop("_n")
+
+
 def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int = LINE_WORDS) -> DataFrame:
     """``docs`` with ``text`` cleaned, and ``_removed``, the spans cut as ``array<struct<start, end>>``.
 
@@ -179,7 +189,7 @@ def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int
     the same and nothing to each other; null doc_ids rank last, alike too. All other columns pass through; an
     empty table gives an empty result. First the anchors are grouped, some in 16 words; only the runs whose anchor
     stands in several documents are digested and grouped in turn, and equal runs have equal anchors, so
-    none is missed. A frequent unit is counted before it is shuffled, and the join that tells documents of it
+    none is missed. A frequent digest is counted before it is shuffled, and the join that tells documents of it
     has one row per digest on its other side.
     """
     # Columns go by their place while others stand beside them, so their names meet none.
@@ -204,9 +214,7 @@ def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int
             )
 
     anchors = stage(narrow.select("_key", "text").mapInArrow(sketch, "_akey long, anchor long"), "run_anchors")
-    shared = anchors.groupBy("anchor").agg(F.min("_akey").alias("_low"), F.max("_akey").alias("_high"))
-    shared = shared.where("_low <> _high").select("anchor")
-    wanted = anchors.join(shared, "anchor").groupBy("_akey").agg(F.collect_set("anchor").alias("_anchors"))
+    wanted = shared_anchors(anchors).groupBy("_akey").agg(F.collect_set("anchor").alias("_anchors"))
     schema = pa.schema([("_id", pa.int64()), ("_part", pa.int16()), ("digest", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

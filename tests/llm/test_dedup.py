@@ -194,3 +194,22 @@ def test_only_text_that_repeats_in_order_goes(spark):
     once = [k for k, text in rows[300:] if whole.count(tuple(text.split())) == 1 and len(text.split()) < 20]
     lines = {tuple(part.split()) for _, text in rows[:300] for part in text.split("\n")}
     assert all(found[k] == dict(rows)[k].split() for k in once if tuple(dict(rows)[k].split()) not in lines) and len(once) > 50
+
+
+def test_anchors_of_several_texts_are_found_in_one_exchange(spark):
+    rows = [(1, 10), (2, 10), (1, 11), (3, 12), (3, 13), (4, 13), (5, 13), (None, 14), (6, 14)]
+    shared = substring_dedup.shared_anchors(spark.createDataFrame(rows, "_akey long, anchor long"))
+    assert {(r["_akey"], r["anchor"]) for r in shared.collect()} == {r for r in rows if r[1] in (10, 13, 14)}
+    plan = shared._jdf.queryExecution().sparkPlan().toString()
+    assert shared.columns == ["_akey", "anchor"] and "Join" not in plan
+
+
+def test_repeated_rows_lose_nothing_to_each_other(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (1, text), (2, "other " + text), (None, text), (None, text)]
+    out = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in out) == sorted(
+        [("1", text), ("1", text), ("2", "other "), ("None", ""), ("None", "")]
+    )
+    alone = substring_dedup.remove_repeats(spark.createDataFrame(rows[:2], "doc_id long, text string")).collect()
+    assert [r["text"] for r in alone] == [text, text]
