@@ -178,6 +178,14 @@ def shared_anchors(anchors: DataFrame) -> DataFrame:
     return anchors.withColumn("_n", texts).where("_n > 1").drop("_n")
 
 
+def later_rows(units: DataFrame) -> DataFrame:
+    """The rows whose digest a smaller doc_id has too: told where the rows of a digest lie, so they are shuffled once."""
+    # min() passes over null: a null doc_id is first only where all are null.
+    firsts = units.withColumn("_first", F.min("_id").over(Window.partitionBy("digest")))
+    later = (F.col("_id") > F.col("_first")) | (F.col("_id").isNull() & F.col("_first").isNotNull())
+    return firsts.where(later).drop("_first")
+
+
 def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int = LINE_WORDS) -> DataFrame:
     """``docs`` with ``text`` cleaned, and ``_removed``, the spans cut as ``array<struct<start, end>>``.
 
@@ -189,8 +197,8 @@ def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int
     the same and nothing to each other; null doc_ids rank last, alike too. All other columns pass through; an
     empty table gives an empty result. First the anchors are grouped, some in 16 words; only the runs whose anchor
     stands in several documents are digested and grouped in turn, and equal runs have equal anchors, so
-    none is missed. A frequent digest is counted before it is shuffled, and the join that tells documents of it
-    has one row per digest on its other side.
+    none is missed. Anchors and digests pass one exchange each. Of a frequent one a task has a narrow row per document
+    that holds it, which a window reads twice and spills, no text and no list.
     """
     # Columns go by their place while others stand beside them, so their names meet none.
     names, types = docs.columns, [f.dataType.simpleString() for f in docs.schema.fields]
@@ -213,7 +221,7 @@ def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int
                 anchors_schema, batch.column("_key").take(pa.array(units.text[used])), units.anchor[used]
             )
 
-    anchors = stage(narrow.select("_key", "text").mapInArrow(sketch, "_akey long, anchor long"), "run_anchors")
+    anchors = narrow.select("_key", "text").mapInArrow(sketch, "_akey long, anchor long")
     wanted = shared_anchors(anchors).groupBy("_akey").agg(F.collect_set("anchor").alias("_anchors"))
     schema = pa.schema([("_id", pa.int64()), ("_part", pa.int16()), ("digest", pa.int64())])
 
@@ -230,11 +238,7 @@ def remove_repeats(docs: DataFrame, run_words: int = RUN_WORDS, line_words: int
 
     meeting = narrow.join(wanted, F.col("_key") == F.col("_akey")).select("_id", "_part", "text", "_anchors")
     units = stage(meeting.mapInArrow(run, "_id long, _part short, digest long"), "run_digests")
-    # min() passes over null: a null doc_id is first only where all are null.
-    firsts = units.groupBy("digest").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-    later = (F.col("_id") > F.col("_first")) | (F.col("_id").isNull() & F.col("_first").isNotNull())
-    repeats = units.join(firsts.drop("_n"), "digest").where(later)
-    listed = repeats.groupBy(F.col("_id").alias("_rid"), F.col("_part").alias("_rpart")).agg(
+    listed = later_rows(units).groupBy(F.col("_id").alias("_rid"), F.col("_part").alias("_rpart")).agg(
         F.collect_set("digest").alias("_repeats")
     )
     keyed = docs.select(*[docs[n].alias(c) for n, c in zip(names, columns)], *key[1:])

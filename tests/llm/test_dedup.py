@@ -1,11 +1,15 @@
 """SimHash groups, substring dedup and components against brute force and on odd rows."""
 
+import glob
 import random
+import tempfile
+import time
 
 import numpy as np
 import pytest
 import xxhash
 
+from dictforge import session
 from dictforge.llm import components, simhash, substring_dedup
 
 DOCS = "doc_id long, text string, source string, fp long, digest long, n int"
@@ -204,6 +208,35 @@ def test_anchors_of_several_texts_are_found_in_one_exchange(spark):
     assert shared.columns == ["_akey", "anchor"] and "Join" not in plan
 
 
+def test_digests_meet_in_one_exchange_and_anchors_are_not_written(spark):
+    units = spark.createDataFrame([(3, 0, 9), (1, 0, 9), (1, 1, 9), (None, 0, 9), (None, 1, 8), (2, 0, 7)], "_id int, _part int, digest int")
+    later = substring_dedup.later_rows(units)
+    assert sorted(map(str, later.collect())) == sorted(
+        ["Row(_id=3, _part=0, digest=9)", "Row(_id=None, _part=0, digest=9)"]
+    )
+    assert later._jdf.queryExecution().sparkPlan().toString().count("Window") == 1
+    assert "Join" not in later._jdf.queryExecution().optimizedPlan().toString()
+    before = len(session._GIVEN)
+    substring_dedup.remove_repeats(docs(spark, [(1, "a b c"), (2, "a b c")]))
+    assert len(session._GIVEN) - before == 1
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    folder = spark.conf.get("spark.local.dir", tempfile.gettempdir())
+
+    def shuffled():
+        return set(glob.glob(f"{folder}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
+
+    before, rows = shuffled(), spark.range(1000).repartition(3, "id")
+    staged = session.stage(rows, "rows")
+    for _ in range(50):  # Spark removes them in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert staged.count() == rows.count() == 1000 and shuffled() - before
+
+
 def test_repeated_rows_lose_nothing_to_each_other(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(1, text), (1, text), (2, "other " + text), (None, text), (None, text)]
