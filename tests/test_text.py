@@ -152,3 +152,10 @@ def test_an_entity_cut_before_its_semicolon_may_stay(spark):
     closed = many(spark, lambda c: T.html_to_text(c, bare_names=False), list(cases))
     assert closed == list(cases.values())
     assert many(spark, T.html_to_text, ["a &amp b"]) == ["a & b"]
+
+
+def test_plus_signs_are_replaced_by_a_search(spark):
+    rows = spark.createDataFrame([("a+b",), ("++",), ("é+ +अ+",), ("none",), ("",), (None,)], "x string")
+    found = rows.select(T.normalize(F.col("x")).alias("y"))
+    assert [r["y"] for r in found.collect()] == ["a b", "", "é   अ", "none", "", ""]
+    assert "translate(" not in found._jdf.queryExecution().optimizedPlan().toString()
