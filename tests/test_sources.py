@@ -12,6 +12,7 @@ from dictforge import session
 from dictforge.config import Config
 from dictforge.functions import text as T
 from dictforge.operators import extract, skew
+from dictforge.plans import catalog_tables
 from dictforge.sources import buckets, manifest, positions, readers
 
 
@@ -94,6 +95,24 @@ def test_bucketed_lists_need_no_exchange(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_bucketed_lists_are_whole(spark, monkeypatch):
+    """A list of more items than a row holds is whole in the query, for usual and for hot meanings."""
+    rows = [(m, "A", f"{i:03}", None) for m, n in ((1, 3), (2, 11), (9, 25), (None, 4), (77, 8)) for i in range(n)]
+    tables = {
+        "meanings": spark.createDataFrame([(m, "x") for m in (1, 2, 3, 9, 9, None)], "MeaningId long, MeaningText string"),
+        "extensions": spark.createDataFrame(rows, "MeaningId long, ExtensionType string, WordList string, Details string"),
+        "extension_links": spark.createDataFrame([(m, f"{w}| b") for m, _, w, _ in rows if w > "001"], "MeaningId long, WordList string"),
+    }
+    monkeypatch.setattr(catalog_tables, "dictionary", lambda spark, sf: tables)
+    monkeypatch.setattr(catalog_tables, "CFG", Config(items_per_row=4))
+    sizes = {1: 3, 2: 11, 9: 25}
+    join = lambda m, between, item, begin=0: between.join(item.format(i) for i in range(begin, sizes.get(m, 0))) or "-"
+    want = sorted(str((m, join(m, ",", "A={:03}"), join(m, ";", "{:03}, b", 2))) for m in (1, 2, 3, 9, 9, None))
+    for hot in ([], [2, 9]):
+        monkeypatch.setattr(buckets, "hot_keys", lambda df, key, n=0: hot)
+        assert sorted(str(tuple(r)) for r in catalog_tables.bucketed_lists(spark, "").collect()) == want
+
+
 def test_changed_chunks(spark, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "out")
     seen = []
