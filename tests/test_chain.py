@@ -334,3 +334,27 @@ def test_tasks_of_answers_take_only_meanings_with_such_an_answer(spark, titles,
     assert seen["synonym",] == (1, [(1, "synonym")])
     assert seen["translation", "synonym"] == (2, [(1, "synonym"), (2, "translation")])
     assert seen["definition", "synonym"][0] == 4 and (1, "synonym") in seen["definition", "synonym"][1]
+
+
+def test_meanings_lie_by_word_and_are_merged_without_another_exchange(spark, titles, monkeypatch):
+    """Rows by word give what rows by meaning give, repeated and absent keys and long texts too, and pass one exchange."""
+    meanings = [(i, i % 7, i % 3, f"m<b>{i}</b>. " * (200 if i % 11 == 0 else 1), None, None, None, i) for i in range(60)]
+    tables = tables_of(
+        spark,
+        words=[(w, f"w{w}", "sa", None, None) for w in (0, 1, 2, 3, 4, 5, 5)], sources=[(s, f"s{s}", "S", None) for s in (0, 1, 1)],
+        meanings=[*meanings, meanings[9], (None, 1, 1, "no id", None, None, None, 1), (70, None, 1, "no word", None, None, None, 1)],
+        extensions=[(i, "iwn.SYNONYM", f"e{i}", None) for i in (1, 1, 9, 30, 44, 900)],
+        extension_links=[(i, f"l{i}| k") for i in (2, 9, 33, 44)],
+    )
+    found = []
+    for even in (True, False):
+        monkeypatch.setattr(extract, "lie_evenly", lambda meanings: even)
+        answers = tasks.extension_answers(tables["extensions"], Config())
+        merged = build.merged_meanings(tables, titles, spark.sql(LABELS), Config(), True, answers)
+        order = sorted(merged.columns)
+        # Groups of rows that lie by word are not dealt again.
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert ("own_part" in "".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)) != even
+        nested = build.word_records(tables, titles)
+        found.append([sorted(map(str, df.collect())) for df in (merged.select(order), nested)])
+    assert found[0] == found[1] and len(found[0][0]) > 20
